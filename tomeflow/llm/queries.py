@@ -7,15 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tomeflow.llm import tokens
+from tomeflow.llm import splitting, tokens
 from tomeflow.sources.tables import table
 
 
+_CHUNK = ("chunk_id", "source", "file_hash", "chunk_index", "doc_type", "text", "ingested_at")
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    cut = splitting.split_oversized(table(spark, folder, "chunk", "chunk_id", "source", "doc_type", "text"))
+    return cut.select("chunk_id", F.explode("units").alias("unit_start"))
+
+
+def p5_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return splitting.rechunk(table(spark, folder, "chunk", *_CHUNK))
+
+
 def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.token_ids(table(spark, folder, "documents", "doc_id", "text"), "doc_id", "text")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p5_found": p5_found,
+    "p5_pieces": p5_pieces,
     "p6_ids": p6_ids,
 }
 
