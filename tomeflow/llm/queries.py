@@ -7,10 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tomeflow.llm import splitting, tokens
+from tomeflow.llm import credentials, splitting, tokens
 from tomeflow.sources.tables import table
 
 
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    return credentials.credential_lines(table(spark, folder, "chunk", "chunk_id", "text"))
+
+
+def p1_masked(spark: SparkSession, folder: str) -> DataFrame:
+    return credentials.mask(table(spark, folder, "chunk", "chunk_id", "text"))
+
+
 _CHUNK = ("chunk_id", "source", "file_hash", "chunk_index", "doc_type", "text", "ingested_at")
 
 
@@ -28,6 +36,8 @@ def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p1_found": p1_found,
+    "p1_masked": p1_masked,
     "p5_found": p5_found,
     "p5_pieces": p5_pieces,
     "p6_ids": p6_ids,
