@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tomeflow.llm import credentials, splitting, tokens
+from tomeflow.llm import credentials, mojibake, splitting, tokens
 from tomeflow.sources.tables import table
 
 
@@ -19,6 +19,14 @@ def p1_masked(spark: SparkSession, folder: str) -> DataFrame:
     return credentials.mask(table(spark, folder, "chunk", "chunk_id", "text"))
 
 
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return mojibake.garbled_rows(table(spark, folder, "chunk", "chunk_id", "source", "text"), table(spark, folder, "pipeline_state", "rel_path", "status"))
+
+
+def p2_repaired(spark: SparkSession, folder: str) -> DataFrame:
+    return mojibake.repaired(table(spark, folder, "chunk", "chunk_id", "source", "text"), table(spark, folder, "pipeline_state", "rel_path", "status"))
+
+
 _CHUNK = ("chunk_id", "source", "file_hash", "chunk_index", "doc_type", "text", "ingested_at")
 
 
@@ -38,6 +46,8 @@ def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_masked": p1_masked,
+    "p2_found": p2_found,
+    "p2_repaired": p2_repaired,
     "p5_found": p5_found,
     "p5_pieces": p5_pieces,
     "p6_ids": p6_ids,
