@@ -41,6 +41,8 @@ PRIOR_GARBLED, PRIOR_IF_RECORDED, POOLED = 0.02, 0.2, 3.0
 ROUNDS = 3
 #: The posterior from which on a token counts as garbled.
 SURE = 0.7
+#: Log-likelihood of a character that nobody writes: it stands for what got lost.
+GONE = -16.0
 
 #: White space is that of ASCII, for Spark and for Python alike.
 _SPACED = r"[^\t-\r ]+"
@@ -145,7 +147,7 @@ def _from_multi(text: str, read: str, written: str) -> str:
             return m[0]
         chars = raw.decode("latin-1")
         # text of frequent characters is taken as it is; what is restored must consist of frequent ones
-        if _FREQUENT[read].fullmatch(chars) and len(m[0]) > 1 or not _FREQUENT[written].fullmatch(chars):
+        if read != "cp950" and len(m[0]) > 1 and _FREQUENT[read].fullmatch(chars) or not _FREQUENT[written].fullmatch(chars):
             return m[0]
         try:
             return raw.decode(written)
@@ -243,6 +245,8 @@ class Model:
         self.logs: dict[tuple[str, str], float] = {}
 
     def log(self, before: str, c: str) -> float:
+        if c == "\ufffd" or "\ue000" <= c <= "\uf8ff" or c >= "\U000e0000":
+            return GONE
         if (known := self.logs.get((before, c))) is None:
             # the rest of the mass is spread over the code points that were never seen
             alone = (self.single[c] + 0.05) / (self.total + 0.05 * 150_000)
@@ -262,7 +266,8 @@ def _counted(rows: Iterator[tuple[str, float]]) -> Counter:
     for token, n in rows:
         before = "."
         for c in token:
-            out[before, c] += n
+            if c != "\ufffd":
+                out[before, c] += n
             before = script(c)
         out[before, " "] += n
     return out
