@@ -400,13 +400,13 @@ def garbled_tokens(chunks: DataFrame, states: DataFrame) -> tuple[DataFrame, Dat
 def garbled_rows(chunks: DataFrame, states: DataFrame) -> DataFrame:
     """``chunk_id`` of every row with at least one garbled stretch, once. Null, empty and pure ASCII texts are none;
     extra columns are ignored."""
-    seen, garbled = garbled_tokens(chunks)
+    seen, garbled = garbled_tokens(chunks, states)
     return seen.join(garbled.select("source", "token"), ["source", "token"], "left_semi").select("chunk_id").distinct()
 
 
 def repaired(chunks: DataFrame, states: DataFrame) -> DataFrame:
     """``chunk_id``, ``repaired`` text, and ``recovered``: whether the whole original is known, of every row with a garbled stretch."""
-    seen, garbled = garbled_tokens(chunks)
+    seen, garbled = garbled_tokens(chunks, states)
     found = seen.join(garbled, ["source", "token"]).groupBy("chunk_id").agg(F.collect_list(F.struct("token", "original")).alias("changes"), (F.max((F.col("chain") == "lost").cast("int")) == 0).alias("recovered"))
 
     @F.pandas_udf("string")
