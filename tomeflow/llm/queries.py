@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tomeflow.llm import credentials, mojibake, splitting, tokens
+from tomeflow.llm import credentials, mojibake, quality, splitting, tokens
 from tomeflow.sources.tables import table
 
 
@@ -43,6 +43,15 @@ def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.token_ids(table(spark, folder, "documents", "doc_id", "text"), "doc_id", "text")
 
 
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents", "doc_id", "text")
+    return quality.not_prose(documents, table(spark, folder, "common_word"), table(spark, folder, "doc_label", "doc_id", "kind"))
+
+
+def p8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality(table(spark, folder, "documents", "doc_id", "text"), table(spark, folder, "common_word"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_masked": p1_masked,
@@ -51,6 +60,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p5_found": p5_found,
     "p5_pieces": p5_pieces,
     "p6_ids": p6_ids,
+    "p8_found": p8_found,
+    "p8_quality": p8_quality,
 }
 
 SQL: dict[str, str] = {}
