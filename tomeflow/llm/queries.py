@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tomeflow.llm import credentials, mojibake, quality, splitting, tokens
+from tomeflow.llm import budget, credentials, mojibake, packing, quality, splitting, tokens
 from tomeflow.sources.tables import table
 
 
@@ -30,6 +30,22 @@ def p2_repaired(spark: SparkSession, folder: str) -> DataFrame:
 _CHUNK = ("chunk_id", "source", "file_hash", "chunk_index", "doc_type", "text", "ingested_at")
 
 
+def _budget(spark: SparkSession, folder: str) -> DataFrame:
+    return budget.budget_rows(table(spark, folder, "chunk", *_CHUNK), table(spark, folder, "source_file", "rel_path", "sha256", "lang"), table(spark, folder, "kb_space", "space", "domain"))
+
+
+def p4_budget(spark: SparkSession, folder: str) -> DataFrame:
+    return budget.token_budget(_budget(spark, folder))
+
+
+def p4_slices(spark: SparkSession, folder: str) -> DataFrame:
+    return budget.slices(_budget(spark, folder))
+
+
+def p4_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    return tokens.token_counts(table(spark, folder, "chunk", "chunk_id", "text"), "chunk_id", "text")
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     cut = splitting.split_oversized(table(spark, folder, "chunk", "chunk_id", "source", "doc_type", "text"))
     return cut.select("chunk_id", F.explode("units").alias("unit_start"))
@@ -43,6 +59,14 @@ def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.token_ids(table(spark, folder, "documents", "doc_id", "text"), "doc_id", "text")
 
 
+def p7_containers(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(tokens.token_counts(table(spark, folder, "documents", "doc_id", "text"), "doc_id", "text"))
+
+
+def p7_fill(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.fill(p7_containers(spark, folder))
+
+
 def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents", "doc_id", "text")
     return quality.not_prose(documents, table(spark, folder, "common_word"), table(spark, folder, "doc_label", "doc_id", "kind"))
@@ -57,9 +81,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_masked": p1_masked,
     "p2_found": p2_found,
     "p2_repaired": p2_repaired,
+    "p4_budget": p4_budget,
+    "p4_slices": p4_slices,
+    "p4_tokens": p4_tokens,
     "p5_found": p5_found,
     "p5_pieces": p5_pieces,
     "p6_ids": p6_ids,
+    "p7_containers": p7_containers,
+    "p7_fill": p7_fill,
     "p8_found": p8_found,
     "p8_quality": p8_quality,
 }
