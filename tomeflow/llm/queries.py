@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tomeflow.llm import budget, credentials, mojibake, packing, quality, splitting, tokens
+from tomeflow.llm import budget, credentials, mojibake, neighbours, packing, quality, splitting, tokens
 from tomeflow.sources.tables import table
 
 
@@ -27,6 +27,14 @@ def p2_repaired(spark: SparkSession, folder: str) -> DataFrame:
     return mojibake.repaired(table(spark, folder, "chunk", "chunk_id", "source", "text"), table(spark, folder, "pipeline_state", "rel_path", "status"))
 
 
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.similar_pairs(table(spark, folder, "chunk", "chunk_id", "vector"), "chunk_id", "vector")
+
+
+def p3_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.neighbours(table(spark, folder, "chunk", "chunk_id", "vector"), "chunk_id", "vector")
+
+
 _CHUNK = ("chunk_id", "source", "file_hash", "chunk_index", "doc_type", "text", "ingested_at")
 
 
@@ -81,6 +89,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_masked": p1_masked,
     "p2_found": p2_found,
     "p2_repaired": p2_repaired,
+    "p3_found": p3_found,
+    "p3_neighbours": p3_neighbours,
     "p4_budget": p4_budget,
     "p4_slices": p4_slices,
     "p4_tokens": p4_tokens,
