@@ -23,7 +23,6 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tomeflow.functions.durable import stored
 
@@ -222,7 +221,6 @@ def originals(token: str) -> dict[str, str]:
 _SCRIPTS = ((0x41, 0x5A, "A"), (0x61, 0x7A, "a"), (0x30, 0x39, "0"), (0x80, 0x9F, "C"), (0xC0, 0xDE, "L"), (0xDF, 0x24F, "l"), (0x370, 0x3FF, "G"), (0x400, 0x52F, "R"), (0x3040, 0x30FF, "J"), (0x3100, 0x312F, "B"), (0x4E00, 0x9FFF, "H"), (0xAC00, 0xD7AF, "K"), (0xFF61, 0xFF9F, "W"), (0xE000, 0xF8FF, "P"), (0x1E00, 0x1EFF, "v"))
 
 
-@lru_cache(maxsize=70_000)
 def script(c: str) -> str:
     """The class of a character that the next one is conditioned on."""
     n = ord(c)
@@ -231,6 +229,9 @@ def script(c: str) -> str:
     return next((k for a, b, k in _SCRIPTS if a <= n <= b), "o" if n < 0x2000 else "S")
 
 
+_CLASS: dict[str, str] = {}
+
+
 class Model:
     """P(character | class of the one before), smoothed towards P(character)."""
 
@@ -254,23 +255,28 @@ class Model:
         return known
 
     def score(self, text: str) -> float:
-        before, out = ".", 0.0
+        logs, classes, before, out = self.logs, _CLASS, ".", 0.0
         for c in text:
-            out += self.log(before, c)
-            before = script(c)
+            if (v := logs.get((before, c))) is None:
+                v = logs[before, c] = self.log(before, c)
+            out += v
+            if (before := classes.get(c)) is None:
+                before = classes[c] = script(c)
         return out + self.log(before, " ")
 
 
 def _counted(rows: Iterator[tuple[str, float]]) -> Counter:
-    out: Counter = Counter()
+    out: dict[tuple[str, str], float] = {}
+    classes = _CLASS
     for token, n in rows:
         before = "."
         for c in token:
             if c != "\ufffd":
-                out[before, c] += n
-            before = script(c)
-        out[before, " "] += n
-    return out
+                out[before, c] = out.get((before, c), 0.0) + n
+            if (before := classes.get(c)) is None:
+                before = classes[c] = script(c)
+        out[before, " "] = out.get((before, " "), 0.0) + n
+    return Counter(out)
 
 
 def _model_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,53 +288,51 @@ def _model_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.record_batch([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([float(total[k]) for k in keys], pa.float64())], names=["before", "c", "n"])
 
 
-def model_of(tokens: DataFrame) -> Model:
-    """The model of (token, n). Its size is bounded by the code points times the classes, whatever the rows."""
+def counts_of(tokens: DataFrame) -> dict[tuple[str, str], float]:
+    """Counts of (class before, character) over (token, n). There are at most as many as code points times classes, whatever the rows."""
     counts = tokens.select("token", F.col("n").cast("double")).mapInArrow(_model_rows, "before string, c string, n double").groupBy("before", "c").agg(F.sum("n").alias("n"))
-    return Model({(r.before, r.c): r.n for r in counts.toLocalIterator()})
+    return {(r.before, r.c): r.n for r in counts.toLocalIterator()}
 
 
 # -- the operator --------------------------------------------------------------------------------------------
 
-_CHAINS = T.ArrayType(T.StructType([T.StructField("chain", T.StringType()), T.StructField("text", T.StringType()), T.StructField("log", T.DoubleType())]))
 _SALTS = 16
 
 
 def _tokens(chunks: DataFrame) -> DataFrame:
-    """(chunk_id, source, token) of every token beyond ASCII of every row, each once a row."""
+    """(chunk_id, source, token, h) of every token beyond ASCII of every row, each once a row. ``h`` stands for the token in joins."""
     rows = chunks.select("chunk_id", F.coalesce("source", F.lit("")).alias("source"), "text").where(F.col("text").rlike(r"[^\x00-\x7F]"))
-    return rows.select("chunk_id", "source", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(f"({_TOKEN})"), 1))).alias("token"))
+    rows = rows.select("chunk_id", "source", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(f"({_TOKEN})"), 1))).alias("token"))
+    return rows.withColumn("h", F.xxhash64("token"))
 
 
 def _undone(tokens: DataFrame) -> DataFrame:
-    """(token, chains) of the tokens that some chain may have garbled: their possible originals, not scored yet."""
+    """(h, token, chains) of the tokens that some chain may have garbled: their possible originals, the token itself first."""
 
     @F.pandas_udf("array<struct<chain string, text string>>")
     def undo(col: pd.Series) -> pd.Series:
-        return pd.Series([[{"chain": k, "text": v} for k, v in originals(t).items()] + ([{"chain": "lost", "text": t}] if _LOST.search(t) else []) for t in col], dtype=object)
+        return pd.Series([[{"chain": "", "text": t}] + [{"chain": k, "text": v} for k, v in originals(t).items()] + ([{"chain": "lost", "text": t}] if _LOST.search(t) else []) for t in col], dtype=object)
 
-    return tokens.withColumn("chains", undo("token")).where(F.size("chains") > 0)
+    return tokens.withColumn("chains", undo("token")).where(F.size("chains") > 1)
 
 
 def _scored(undone: DataFrame, model: Model) -> DataFrame:
-    """Adds the log-likelihood of every chain; the clean one comes first."""
+    """(h, chains): the log-likelihood of every chain."""
     sent, held = undone.sparkSession.sparkContext.broadcast(dict(model.counts)), []
 
-    @F.pandas_udf(_CHAINS)
-    def score(tokens: pd.Series, chains: pd.Series) -> pd.Series:
+    @F.pandas_udf("array<struct<chain string, log double>>")
+    def score(chains: pd.Series) -> pd.Series:
         if not held:
             held.append(Model(sent.value))
         out = []
-        for token, found in zip(tokens, chains, strict=True):
-            rows = [{"chain": "", "text": token, "log": held[0].score(token)}]
-            rows += [{"chain": r["chain"], "text": r["text"], "log": held[0].score(r["text"])} for r in found]
-            for r in rows:
-                if r["chain"] == "lost":  # nothing that is written correctly looks like this
-                    r["log"] = rows[0]["log"] + 30.0
+        for found in chains:
+            rows = [{"chain": r["chain"], "log": held[0].score(r["text"])} for r in found if r["chain"] != "lost"]
+            if len(rows) < len(found):  # nothing that is written correctly looks like this
+                rows.append({"chain": "lost", "log": rows[0]["log"] + 30.0})
             out.append(rows)
         return pd.Series(out, dtype=object)
 
-    return undone.withColumn("chains", score("token", "chains"))
+    return undone.select("h", score("chains").alias("chains"))
 
 
 def _expected(rows: DataFrame, share: dict[str, float]) -> DataFrame:
@@ -340,60 +344,65 @@ def _expected(rows: DataFrame, share: dict[str, float]) -> DataFrame:
         of_corpus = F.when(chain == "", 1 - F.col("prior")).otherwise(F.col("prior") * F.coalesce(names[chain], F.lit(unseen)))
         return (POOLED * of_corpus + F.coalesce(F.col("mass")[chain], F.lit(0.0))) / (POOLED + F.col("size"))
 
-    scored = F.transform("chains", lambda x: F.struct(x["chain"].alias("chain"), x["text"].alias("text"), (x["log"] + F.log(weight(x["chain"]) + F.lit(1e-12))).alias("log")))
+    scored = F.transform("chains", lambda x: F.struct(x["chain"].alias("chain"), (x["log"] + F.log(weight(x["chain"]) + F.lit(1e-12))).alias("log")))
     rows = rows.withColumn("chains", scored).withColumn("best", F.array_max(F.transform("chains", lambda x: x["log"])))
-    parts = F.transform("chains", lambda x: F.struct(x["chain"].alias("chain"), x["text"].alias("text"), F.exp(x["log"] - F.col("best")).alias("p")))
+    parts = F.transform("chains", lambda x: F.struct(x["chain"].alias("chain"), F.exp(x["log"] - F.col("best")).alias("p")))
     rows = rows.withColumn("chains", parts).withColumn("all", F.aggregate("chains", F.lit(0.0), lambda a, x: a + x["p"]))
-    return rows.withColumn("chains", F.transform("chains", lambda x: F.struct(x["chain"].alias("chain"), x["text"].alias("text"), (x["p"] / F.col("all")).alias("p")))).drop("best", "all")
+    return rows.withColumn("chains", F.transform("chains", lambda x: F.struct(x["chain"].alias("chain"), (x["p"] / F.col("all")).alias("p")))).drop("best", "all")
 
 
 def garbled_tokens(chunks: DataFrame, states: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The tokens of all rows, and (source, token, original, chain, p) of those that are garbled by their posterior.
+    """(chunk_id, source, h) of the tokens of all rows, and (source, h, token, original, chain, p) of those that are
+    garbled by their posterior.
 
     ``chain`` "lost" says that the original can't be recovered; ``original`` is then as much as could be.
     """
     seen = stored(_tokens(chunks), "tokens")
-    counts = stored(seen.groupBy("source", "token").agg(F.count("*").alias("n")), "token-counts")
-    distinct = counts.groupBy("token").agg(F.sum("n").alias("n"))
-    undone = stored(_undone(distinct).drop("n"), "undone")
+    distinct = stored(seen.groupBy("h").agg(F.count("*").alias("n"), F.any_value("token").alias("token")), "distinct-tokens")
+    undone = stored(_undone(distinct.select("h", "token")), "undone")
+    seen = seen.select("chunk_id", "source", "h")
 
     recorded = states.where(F.col("status") == "garbled").select(F.col("rel_path").alias("source")).where("source is not null").distinct().withColumn("prior", F.lit(PRIOR_IF_RECORDED))
-    sizes = counts.groupBy("source").agg(F.sum("n").cast("double").alias("size")).join(recorded, "source", "left").withColumn("prior", F.coalesce("prior", F.lit(PRIOR_GARBLED)))
+    sizes = seen.groupBy("source").agg(F.count("*").cast("double").alias("size")).join(recorded, "source", "left").withColumn("prior", F.coalesce("prior", F.lit(PRIOR_GARBLED)))
     sizes = stored(sizes, "sources")
-    salt = F.pmod(F.xxhash64("token"), F.lit(_SALTS)).cast("int").alias("salt")
     spread = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt")
-    doubtful = counts.join(undone.select("token"), "token", "left_semi").select("source", "token", "n", salt)
+    doubtful = seen.join(undone.select("h"), "h", "left_semi").groupBy("source", "h").agg(F.count("*").alias("n")).withColumn("salt", F.pmod("h", F.lit(_SALTS)).cast("int"))
+    doubtful = stored(doubtful, "doubtful")
 
-    model, masses, share = model_of(distinct), None, {"": 1.0, "cp1252<utf-8": 1.0 / 40}
+    counts, masses, share = counts_of(distinct), None, {"": 1.0, "cp1252<utf-8": 1.0 / 40}
+    scored = stored(_scored(undone, Model(counts)), "scored-0")
     rows = None
     for turn in range(ROUNDS):
-        scored = _scored(undone, model)
         weights = sizes.withColumn("mass", F.lit(None).cast("map<string,double>")) if masses is None else sizes.join(masses, "source", "left")
-        rows = doubtful.join(scored, "token").join(weights.select("*", spread), ["source", "salt"])
-        rows = stored(_expected(rows.withColumn("size", F.when(F.col("mass").isNull() & F.lit(turn == 0), 0.0).otherwise(F.col("size"))), share).select("source", "token", "n", "chains"), f"posterior-{turn}")
+        weights = weights.withColumn("size", F.lit(0.0) if masses is None else F.col("size"))
+        rows = doubtful.join(scored, "h").join(weights.select("*", spread), ["source", "salt"])
+        rows = stored(_expected(rows, share).select("source", "h", "n", "chains"), f"posterior-{turn}")
         if turn == ROUNDS - 1:
             break
-        each = rows.select("source", "n", F.inline("chains"))
-        mass = each.groupBy("source", "chain").agg(F.sum(F.col("n") * F.col("p")).alias("mass"))
-        of_chain = {r.chain: r.mass for r in mass.where("chain <> ''").groupBy("chain").agg(F.sum("mass").alias("mass")).toLocalIterator()}
+        each = rows.select("source", "h", "n", F.inline("chains"))
+        mass = each.where("chain <> ''").groupBy("source", "chain").agg(F.sum(F.col("n") * F.col("p")).alias("mass"))
+        of_chain = {r.chain: r.mass for r in mass.groupBy("chain").agg(F.sum("mass").alias("mass")).toLocalIterator()}
         most = sum(of_chain.values()) + 40.0
         share = {k: (v + 1.0) / most for k, v in of_chain.items()} | {"": 1.0}
         # tokens that no chain explains are clean, and count as such
-        garbled = F.coalesce(F.aggregate(F.map_values("m"), F.lit(0.0), lambda a, x: a + x), F.lit(0.0))
-        masses = mass.where("chain <> ''").groupBy("source").agg(F.map_from_entries(F.collect_list(F.struct("chain", "mass"))).alias("m"))
-        masses = masses.join(sizes.select("source", "size"), "source").select("source", F.map_concat("m", F.create_map(F.lit(""), F.col("size") - garbled)).alias("mass"))
+        garbled = F.aggregate(F.map_values("m"), F.lit(0.0), lambda a, x: a + x)
+        masses = mass.groupBy("source").agg(F.map_from_entries(F.collect_list(F.struct("chain", "mass"))).alias("m"))
+        masses = sizes.select("source", "size").join(masses, "source", "left").select("source", F.when(F.col("m").isNull(), F.create_map(F.lit(""), F.col("size"))).otherwise(F.map_concat("m", F.create_map(F.lit(""), F.col("size") - garbled))).alias("mass"))
         masses = stored(masses, f"weights-{turn}")
-        if turn:
-            continue
-        # the corpus as it was written, as far as is known now
-        sure = counts.join(undone.select("token"), "token", "left_anti").groupBy("token").agg(F.sum("n").cast("double").alias("n"))
-        told = each.where("chain <> 'lost'").groupBy(F.col("text").alias("token")).agg(F.sum(F.col("n") * F.col("p")).alias("n"))
-        model = model_of(sure.unionByName(told))
-    best = F.array_max(F.transform("chains", lambda x: F.struct((F.when(x["chain"] == "lost", 0.0).otherwise(1.0) * x["p"]).alias("p"), x["chain"].alias("chain"), x["text"].alias("text"))))
-    clean = F.aggregate(F.filter("chains", lambda x: x["chain"] == ""), F.lit(0.0), lambda a, x: a + x["p"])
-    lost = F.aggregate(F.filter("chains", lambda x: x["chain"] == "lost"), F.lit(0.0), lambda a, x: a + x["p"])
-    final = rows.select("source", "token", best.alias("b"), (1 - clean).alias("p"), (lost > 0.5).alias("lost")).where(F.col("p") > SURE)
-    final = final.select("source", "token", F.when(F.col("b.chain") == "", F.col("token")).otherwise(F.col("b.text")).alias("original"), F.when(F.col("lost"), "lost").otherwise(F.col("b.chain")).alias("chain"), "p")
+        if turn == 0:
+            # the corpus as it was written, as far as is known now: garbled tokens leave the counts and their originals enter
+            moved = each.where("chain <> '' and p > 0.01").groupBy("h", "chain").agg(F.sum(F.col("n") * F.col("p")).alias("n"))
+            texts = undone.select("h", F.col("token").alias("was"), F.inline("chains"))
+            moved = moved.join(texts, ["h", "chain"])
+            change = moved.select(F.col("was").alias("token"), (-F.col("n")).alias("n")).unionByName(moved.where("chain <> 'lost'").select(F.col("text").alias("token"), "n"))
+            for k, v in counts_of(change).items():
+                counts[k] = max(0.0, counts.get(k, 0.0) + v)
+            scored = stored(_scored(undone, Model(counts)), "scored-1")
+    p_of = lambda name: F.aggregate(F.filter("chains", lambda x: x["chain"] == name), F.lit(0.0), lambda a, x: a + x["p"])
+    best = F.array_max(F.transform("chains", lambda x: F.struct(F.when(x["chain"] == "lost", 0.0).otherwise(x["p"]).alias("p"), x["chain"].alias("chain"))))["chain"]
+    final = rows.select("source", "h", best.alias("chain"), (1 - p_of("")).alias("p"), (p_of("lost") > 0.5).alias("lost")).where(F.col("p") > SURE)
+    texts = undone.select("h", "token", F.inline("chains")).withColumnRenamed("text", "original")
+    final = final.join(texts, ["h", "chain"]).select("source", "h", "token", "original", F.when(F.col("lost"), "lost").otherwise(F.col("chain")).alias("chain"), "p")
     return seen, stored(final, "garbled")
 
 
@@ -401,13 +410,13 @@ def garbled_rows(chunks: DataFrame, states: DataFrame) -> DataFrame:
     """``chunk_id`` of every row with at least one garbled stretch, once. Null, empty and pure ASCII texts are none;
     extra columns are ignored."""
     seen, garbled = garbled_tokens(chunks, states)
-    return seen.join(garbled.select("source", "token"), ["source", "token"], "left_semi").select("chunk_id").distinct()
+    return seen.join(garbled.select("source", "h"), ["source", "h"], "left_semi").select("chunk_id").distinct()
 
 
 def repaired(chunks: DataFrame, states: DataFrame) -> DataFrame:
     """``chunk_id``, ``repaired`` text, and ``recovered``: whether the whole original is known, of every row with a garbled stretch."""
     seen, garbled = garbled_tokens(chunks, states)
-    found = seen.join(garbled, ["source", "token"]).groupBy("chunk_id").agg(F.collect_list(F.struct("token", "original")).alias("changes"), (F.max((F.col("chain") == "lost").cast("int")) == 0).alias("recovered"))
+    found = seen.join(garbled, ["source", "h"]).groupBy("chunk_id").agg(F.collect_list(F.struct("token", "original")).alias("changes"), (F.max((F.col("chain") == "lost").cast("int")) == 0).alias("recovered"))
 
     @F.pandas_udf("string")
     def apply(texts: pd.Series, changes: pd.Series) -> pd.Series:
