@@ -64,8 +64,8 @@ def _codes(rows: list[bytes]) -> np.ndarray:
     return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-9)
 
 
-def nodes(vectors: DataFrame, key: str, vector: str, dim: int = DIM) -> tuple[DataFrame, DataFrame]:
-    """(id, node) of every usable row, and (node, first ids, code, packed vector, signs of each order) of every node.
+def nodes(vectors: DataFrame, key: str, vector: str, dim: int = DIM) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(id, node) of every usable row, (node, first ids, code, signs of each order) of every node, and (node, packed vector).
 
     A node is named by the smallest id of the rows that hold its vector.
     """
@@ -90,8 +90,8 @@ def nodes(vectors: DataFrame, key: str, vector: str, dim: int = DIM) -> tuple[Da
     firsts = Window.partitionBy("node").orderBy("id")
     first = rows.withColumn("_k", F.row_number().over(firsts)).where(F.col("_k") <= 6).groupBy("node").agg(F.sort_array(F.collect_set("id")).alias("firsts"))
     rows = stored(rows, "node-of-row")
-    kept = usable.join(of.select(F.col("node").alias("id")), "id", "left_semi").drop("digest").withColumnRenamed("id", "node")
-    return rows, kept.join(first, "node")
+    coded = first.join(usable.select(F.col("id").alias("node"), "code", "signs"), "node")
+    return rows, coded, usable.select(F.col("id").alias("node"), "packed")
 
 
 def _in_blocks(df: DataFrame, order: str, size: int, name: str) -> DataFrame:
@@ -112,6 +112,27 @@ def _in_blocks(df: DataFrame, order: str, size: int, name: str) -> DataFrame:
     return stored(placed.mapInArrow(number, f"{schema}, block long"), name)
 
 
+def _by_blocks(df: DataFrame, order: str, size: int, work, schema: str) -> DataFrame:  # noqa: ANN001
+    """``work`` over tables of at most ``size`` rows that are next to each other along an order."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in batches:
+            while batch.num_rows:
+                part = batch.slice(0, size - rows)
+                held.append(part)
+                rows += part.num_rows
+                batch = batch.slice(part.num_rows)  # noqa: PLW2901
+                if rows == size:
+                    yield from work(pa.Table.from_batches(held)).to_batches()
+                    held, rows = [], 0
+        if held:
+            yield from work(pa.Table.from_batches(held)).to_batches()
+
+    return df.repartitionByRange(n, order, "node").sortWithinPartitions(order, "node").mapInArrow(run, schema)
+
+
 def _top(sims: np.ndarray, k: int) -> np.ndarray:
     k = min(k, sims.shape[1])
     part = np.argpartition(-sims, k - 1, axis=1)[:, :k] if k < sims.shape[1] else np.broadcast_to(np.arange(k), (len(sims), k))
@@ -133,17 +154,14 @@ _GRAPH = "node long, links array<long>, sims array<float>"
 
 def first_graph(coded: DataFrame, least: float) -> DataFrame:
     """Links within the blocks of each hyperplane order, the best of all orders."""
+    def link(table: pa.Table) -> pa.Table:
+        ids, m = table["node"].to_numpy(), _codes(table["code"].to_pylist())
+        links, sims = _links(ids, ids, m @ m.T, LINKS, least)
+        return pa.table({"node": table["node"], "links": links, "sims": sims})
+
     graph = None
     for t in range(ORDERS):
-        order = coded.select("node", "code", F.col("signs")[t].alias("sign"))
-        blocks = _in_blocks(order, "sign", BLOCK, f"order-{t}")
-
-        def link(table: pa.Table) -> pa.Table:
-            ids, m = table["node"].to_numpy(), _codes(table["code"].to_pylist())
-            links, sims = _links(ids, ids, m @ m.T, LINKS, least)
-            return pa.table({"node": table["node"], "links": links, "sims": sims})
-
-        part = blocks.groupBy("block").applyInArrow(link, _GRAPH)
+        part = _by_blocks(coded.select("node", "code", F.col("signs")[t].alias("sign")), "sign", BLOCK, link, _GRAPH)
         graph = part if graph is None else graph.unionByName(part)
     return _best_links(graph)
 
@@ -196,12 +214,11 @@ def _reached(graph: DataFrame, cells: DataFrame, hops: int) -> DataFrame:
     return out.unionByName(further).distinct()
 
 
-def _joined(members: DataFrame, reached: DataFrame, payload: DataFrame, column: str):  # noqa: ANN202
+def _joined(members: DataFrame, reached: DataFrame, payload: DataFrame, *columns: str):  # noqa: ANN202
     """Cells with the payload of their own nodes and of the nodes they reach, grouped alike."""
     n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    own = members.join(payload, "node").select("cell", "node", column, F.lit(True).alias("own"))
-    far = reached.join(payload, "node").select("cell", "node", column, F.lit(False).alias("own"))
-    return own.unionByName(far).repartition(n, "cell").groupBy("cell")
+    all_rows = members.select("cell", "node", F.lit(True).alias("own")).unionByName(reached.select("cell", "node", F.lit(False).alias("own")))
+    return all_rows.join(payload, "node").select("cell", "node", *columns, "own").repartition(n, "cell").groupBy("cell")
 
 
 def descend(graph: DataFrame, coded: DataFrame, cells: DataFrame, least: float) -> DataFrame:
@@ -223,7 +240,7 @@ def neighbour_graph(vectors: DataFrame, key: str, vector: str, k: int = 5, least
     hold the first k + 1 rows by similarity (rounded to 12 digits), the smaller id first among equals, of at least
     ``least``; a row's neighbours are the first k of its node's list without itself.
     """
-    rows, coded = nodes(vectors, key, vector, dim)
+    rows, coded, packed = nodes(vectors, key, vector, dim)
     coded = stored(coded, "nodes")
     graph = first_graph(coded, least - SLACK)
     for _ in range(ROUNDS):
@@ -232,12 +249,11 @@ def neighbour_graph(vectors: DataFrame, key: str, vector: str, k: int = 5, least
     cells = _cells(graph, coded)
 
     def exact(table: pa.Table) -> pa.Table:
-        ids, own, firsts = table["node"].to_numpy(), table["own"].to_numpy(), table["packed"].combine_chunks().field("firsts")
-        m = _unpacked(table["packed"].combine_chunks().field("packed").to_pylist(), dim)
+        ids, own, first = table["node"].to_numpy(), table["own"].to_numpy(), table["firsts"].to_pylist()
+        m = _unpacked(table["packed"].to_pylist(), dim)
         sims = np.round(m[own] @ m.T, 12)
         sims = np.where(ids[own][:, None] == ids[None, :], 1.0, np.minimum(sims, 1.0))
         best = _top(sims, k + 2)
-        first = firsts.to_pylist()
         lists, values = [], []
         for r, found in enumerate(best):
             low = sims[r, found[-1]] if len(found) > k + 1 else -2.0
@@ -248,8 +264,8 @@ def neighbour_graph(vectors: DataFrame, key: str, vector: str, k: int = 5, least
             values.append([-s for s, _ in rows])
         return pa.table({"node": pa.array(ids[own]), "ids": pa.array(lists, pa.list_(pa.int64())), "sims": pa.array(values, pa.list_(pa.float64()))})
 
-    payload = coded.select("node", F.struct("packed", "firsts").alias("packed"))
-    linked = _joined(cells, _reached(graph, cells, 1), payload, "packed").applyInArrow(exact, "node long, ids array<long>, sims array<double>")
+    payload = coded.select("node", "firsts").join(packed, "node")
+    linked = _joined(cells, _reached(graph, cells, 1), payload, "packed", "firsts").applyInArrow(exact, "node long, ids array<long>, sims array<double>")
     alone = coded.join(cells, "node", "left_anti").where(F.size("firsts") > 1).select("node", F.slice("firsts", 1, k + 1).alias("ids"), F.transform(F.slice("firsts", 1, k + 1), lambda x: F.lit(1.0)).alias("sims"))
     return rows, stored(linked.unionByName(alone), "neighbours")
 
