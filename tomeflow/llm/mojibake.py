@@ -299,11 +299,25 @@ def counts_of(tokens: DataFrame) -> dict[tuple[str, str], float]:
 _SALTS = 16
 
 
+@lru_cache
+def _usual() -> str:
+    """Characters of correct text: frequent Chinese ones, punctuation and the letters of Western European languages."""
+    pairs = bytes(b for lead in (*range(0xA1, 0xA4), *range(0xB0, 0xD8)) for tail in range(0xA1, 0xFF) for b in (lead, tail))
+    return "".join(c for c in pairs.decode("gb2312", "ignore") if c > "\x7f") + "".join(map(chr, (*range(0xC0, 0x100), 0xA0, 0xAB, 0xB0, 0xBB, 0xBF, 0xA1, 0xA7, 0x20AC, 0x152, 0x153, *range(0x2013, 0x2027))))
+
+
+def _odd(token: Column) -> Column:
+    """Whether a chain may have garbled the token at all: it holds an unusual character, two neighbours below the East
+    Asian scripts, or a Chinese character inside of a Latin word or by itself."""
+    rare = F.translate(token, _usual(), "").rlike(r"[^\x00-\x7F]")
+    return rare | token.rlike(r"[\u0080-\u2e7f]{2}|[A-Za-z][\u4e00-\u9fff]|[\u4e00-\u9fff][a-z]|^[\u4e00-\u9fff]$")
+
+
 def _tokens(chunks: DataFrame) -> DataFrame:
-    """(chunk_id, source, token, h) of every token beyond ASCII of every row, each once a row. ``h`` stands for the token in joins."""
+    """(chunk_id, source, token, odd) of every token beyond ASCII of every row, each once a row."""
     rows = chunks.select("chunk_id", F.coalesce("source", F.lit("")).alias("source"), "text").where(F.col("text").rlike(r"[^\x00-\x7F]"))
     rows = rows.select("chunk_id", "source", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(f"({_TOKEN})"), 1))).alias("token"))
-    return rows.withColumn("h", F.xxhash64("token"))
+    return rows.withColumn("odd", _odd(F.col("token")))
 
 
 def _undone(tokens: DataFrame) -> DataFrame:
@@ -352,24 +366,24 @@ def _expected(rows: DataFrame, share: dict[str, float]) -> DataFrame:
 
 
 def garbled_tokens(chunks: DataFrame, states: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(chunk_id, source, h) of the tokens of all rows, and (source, h, token, original, chain, p) of those that are
+    """(chunk_id, source, h) of the odd tokens of all rows, ``h`` standing for the token, and (source, h, token, original, chain, p) of those that are
     garbled by their posterior.
 
     ``chain`` "lost" says that the original can't be recovered; ``original`` is then as much as could be.
     """
     seen = stored(_tokens(chunks), "tokens")
-    distinct = stored(seen.groupBy("h").agg(F.count("*").alias("n"), F.any_value("token").alias("token")), "distinct-tokens")
-    undone = stored(_undone(distinct.select("h", "token")), "undone")
-    seen = seen.select("chunk_id", "source", "h")
+    distinct = stored(seen.groupBy("token", "odd").agg(F.count("*").alias("n")), "distinct-tokens")
+    undone = stored(_undone(distinct.where("odd").select(F.xxhash64("token").alias("h"), "token")), "undone")
 
     recorded = states.where(F.col("status") == "garbled").select(F.col("rel_path").alias("source")).where("source is not null").distinct().withColumn("prior", F.lit(PRIOR_IF_RECORDED))
     sizes = seen.groupBy("source").agg(F.count("*").cast("double").alias("size")).join(recorded, "source", "left").withColumn("prior", F.coalesce("prior", F.lit(PRIOR_GARBLED)))
     sizes = stored(sizes, "sources")
+    seen = seen.where("odd").select("chunk_id", "source", F.xxhash64("token").alias("h"))
     spread = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt")
     doubtful = seen.join(undone.select("h"), "h", "left_semi").groupBy("source", "h").agg(F.count("*").alias("n")).withColumn("salt", F.pmod("h", F.lit(_SALTS)).cast("int"))
     doubtful = stored(doubtful, "doubtful")
 
-    counts, masses, share = counts_of(distinct), None, {"": 1.0, "cp1252<utf-8": 1.0 / 40}
+    counts, masses, share = counts_of(distinct.select("token", "n")), None, {"": 1.0, "cp1252<utf-8": 1.0 / 40}
     scored = stored(_scored(undone, Model(counts)), "scored-0")
     rows = None
     for turn in range(ROUNDS):
