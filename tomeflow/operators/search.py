@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tomeflow.functions.text import file_name, utrim
 
@@ -69,6 +70,7 @@ def vector_topk(vectors: DataFrame, asked: DataFrame, key: str, query: str, limi
     zero have no similarity. The queries are a stated set: they go to the tasks in blocks of bounded size, and every
     task keeps its best rows before anything is shuffled.
     """
+    of_query = to_arrow_type(asked.schema[query].dataType)
     schema = f"{query} {asked.schema[query].dataType.simpleString()}, {key} {vectors.schema[key].dataType.simpleString()}, sim double"
     blocks, block = [], []
     for r in asked.where("vector is not null").toLocalIterator():
@@ -99,7 +101,7 @@ def vector_topk(vectors: DataFrame, asked: DataFrame, key: str, query: str, limi
                 # ties at the edge are kept for the ranking over all batches
                 edge = np.sort(sims, axis=0)[-min(limit, len(at))]
                 rows, cols = np.nonzero(sims >= edge)
-                yield pa.record_batch([pa.array([names[c] for c in cols]), ids.take(pa.array(rows)), pa.array(sims[rows, cols])], names=[query, key, "sim"])
+                yield pa.record_batch([pa.array([names[c] for c in cols], of_query), ids.take(pa.array(rows)), pa.array(sims[rows, cols])], names=[query, key, "sim"])
 
         best = vectors.select(key, "vector").mapInArrow(near, schema)
         found = best if found is None else found.unionByName(best)
