@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tomeflow.llm import budget, credentials, mojibake, neighbours, packing, quality, splitting, tokens
+from tomeflow.llm import budget, credentials, graph_search, mojibake, neighbours, packing, quality, splitting, tokens
 from tomeflow.sources.tables import table
 
 
@@ -35,6 +35,12 @@ def p3_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.neighbours(table(spark, folder, "chunk", "chunk_id", "vector"), "chunk_id", "vector")
 
 
+def p3_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The stated query set against all rows: every row whose id is divisible by 50."""
+    rows = table(spark, folder, "chunk", "chunk_id", "vector")
+    return graph_search.search(rows, rows.where(F.col("chunk_id") % 50 == 0), "chunk_id", "vector")
+
+
 _CHUNK = ("chunk_id", "source", "file_hash", "chunk_index", "doc_type", "text", "ingested_at")
 
 
@@ -91,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_repaired": p2_repaired,
     "p3_found": p3_found,
     "p3_neighbours": p3_neighbours,
+    "p3_search": p3_search,
     "p4_budget": p4_budget,
     "p4_slices": p4_slices,
     "p4_tokens": p4_tokens,
