@@ -23,7 +23,7 @@ from tomeflow.functions.durable import stored
 
 DIM = 512
 #: Length of a code, number of hyperplane orders for the first graph, nodes in a block or cell, links a node, rounds.
-CODE, ORDERS, BLOCK, CELL, LINKS, ROUNDS = 128, 4, 1024, 1024, 16, 2
+CODE, ORDERS, BLOCK, CELL, LINKS, ROUNDS = 128, 6, 1024, 1536, 20, 2
 #: How far a code's similarity may lie below the least similarity asked for.
 SLACK = 0.18
 SEED = 20240601
