@@ -46,7 +46,7 @@ def test_clean(spark):
 
 
 def test_tables():
-    assert clean.compact_table(["| a |  | b |  | 0 |", "|  | 0 |"]) == ["| a |  | b |"]
+    assert clean.compact_table(["| a |  | b |  | 0 |", "|  | 0 |"]) == ["| a |  | b |  |"]  # empty cells go before zeros do, and only once
     assert clean.compact_table(["| 0 |  |"]) == []
     assert clean.compact_table(["| a | b |  |", "| --- | --- | --- |", "| 1 | 2 |  |", "|  |  |  |"]) == ["| a | b |", "|---|---|", "| 1 | 2 |"]
     assert clean.compact_table(["| a |", "| --- |"]) == ["| a |", "| --- |"]

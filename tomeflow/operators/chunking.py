@@ -122,7 +122,7 @@ def chunks_of(text: Column | str, kind: Column | str, size: int = SIZE, overlap:
     def cut(texts: pd.Series, kinds: pd.Series) -> pd.Series:
         return pd.Series([chunk_text(t, k, size, overlap) for t, k in zip(texts, kinds, strict=True)], dtype=object)
 
-    return cut(text, kind)
+    return cut.asNondeterministic()(text, kind)  # or a filter on its result runs it again
 
 
 def pieces_of(text: Column | str, kind: str) -> Column:
@@ -139,7 +139,7 @@ def pieces_of(text: Column | str, kind: str) -> Column:
                 out.append([t])
         return pd.Series(out, dtype=object)
 
-    return cut(text)
+    return cut.asNondeterministic()(text)
 
 
 def chunk(documents: DataFrame, size: int = SIZE, overlap: int = OVERLAP) -> DataFrame:
