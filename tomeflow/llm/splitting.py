@@ -191,7 +191,7 @@ def splitter(limit: int = LIMIT, overlap: int = OVERLAP):  # noqa: ANN201
             pieces.append([{"piece_no": n, "start": a, "text": t[a:b]} for n, (a, b) in enumerate(found.pieces(0 if k in _UNITS and k != "doc" else overlap))])
         return pd.DataFrame({"units": units, "pieces": pieces})
 
-    return split
+    return split.asNondeterministic()  # or a filter on its result runs it again
 
 
 def split_oversized(chunks: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
