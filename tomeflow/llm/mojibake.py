@@ -296,9 +296,6 @@ def counts_of(tokens: DataFrame) -> dict[tuple[str, str], float]:
 
 # -- the operator --------------------------------------------------------------------------------------------
 
-_SALTS = 16
-
-
 @lru_cache
 def _usual() -> str:
     """Characters of correct text: frequent Chinese ones, punctuation and the letters of Western European languages."""
@@ -314,8 +311,8 @@ def _odd(token: Column) -> Column:
 
 
 def _tokens(chunks: DataFrame) -> DataFrame:
-    """(chunk_id, source, token, odd) of every token beyond ASCII of every row, each once a row."""
-    rows = chunks.select("chunk_id", F.coalesce("source", F.lit("")).alias("source"), "text").where(F.col("text").rlike(r"[^\x00-\x7F]"))
+    """(chunk_id, source, token, odd) of every token beyond ASCII of every row, each once a row; a hash stands for the source."""
+    rows = chunks.select("chunk_id", F.xxhash64(F.coalesce("source", F.lit(""))).alias("source"), "text").where(F.col("text").rlike(r"[^\x00-\x7F]"))
     rows = rows.select("chunk_id", "source", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(f"({_TOKEN})"), 1))).alias("token"))
     return rows.withColumn("odd", _odd(F.col("token")))
 
@@ -327,7 +324,8 @@ def _undone(tokens: DataFrame) -> DataFrame:
     def undo(col: pd.Series) -> pd.Series:
         return pd.Series([[{"chain": "", "text": t}] + [{"chain": k, "text": v} for k, v in originals(t).items()] + ([{"chain": "lost", "text": t}] if _LOST.search(t) else []) for t in col], dtype=object)
 
-    return tokens.withColumn("chains", undo("token")).where(F.size("chains") > 1)
+    # the filter must not run the function a second time
+    return tokens.withColumn("chains", undo.asNondeterministic()("token")).where(F.size("chains") > 1)
 
 
 def _scored(undone: DataFrame, model: Model) -> DataFrame:
@@ -366,7 +364,7 @@ def _expected(rows: DataFrame, share: dict[str, float]) -> DataFrame:
 
 
 def garbled_tokens(chunks: DataFrame, states: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(chunk_id, source, h) of the odd tokens of all rows, ``h`` standing for the token, and (source, h, token, original, chain, p) of those that are
+    """(chunk_id, source, h) of the doubtful tokens of all rows, ``h`` standing for the token, and (source, h, token, original, chain, p) of those that are
     garbled by their posterior.
 
     ``chain`` "lost" says that the original can't be recovered; ``original`` is then as much as could be.
@@ -375,13 +373,12 @@ def garbled_tokens(chunks: DataFrame, states: DataFrame) -> tuple[DataFrame, Dat
     distinct = stored(seen.groupBy("token", "odd").agg(F.count("*").alias("n")), "distinct-tokens")
     undone = stored(_undone(distinct.where("odd").select(F.xxhash64("token").alias("h"), "token")), "undone")
 
-    recorded = states.where(F.col("status") == "garbled").select(F.col("rel_path").alias("source")).where("source is not null").distinct().withColumn("prior", F.lit(PRIOR_IF_RECORDED))
+    recorded = states.where(F.col("status") == "garbled").where("rel_path is not null").select(F.xxhash64("rel_path").alias("source")).distinct().withColumn("prior", F.lit(PRIOR_IF_RECORDED))
     sizes = seen.groupBy("source").agg(F.count("*").cast("double").alias("size")).join(recorded, "source", "left").withColumn("prior", F.coalesce("prior", F.lit(PRIOR_GARBLED)))
     sizes = stored(sizes, "sources")
     seen = seen.where("odd").select("chunk_id", "source", F.xxhash64("token").alias("h"))
-    spread = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt")
-    doubtful = seen.join(undone.select("h"), "h", "left_semi").groupBy("source", "h").agg(F.count("*").alias("n")).withColumn("salt", F.pmod("h", F.lit(_SALTS)).cast("int"))
-    doubtful = stored(doubtful, "doubtful")
+    seen = stored(seen.join(undone.select("h"), "h", "left_semi").select("chunk_id", "source", "h"), "doubtful-tokens")
+    doubtful = stored(seen.groupBy("source", "h").agg(F.count("*").alias("n")), "doubtful")
 
     counts, masses, share = counts_of(distinct.select("token", "n")), None, {"": 1.0, "cp1252<utf-8": 1.0 / 40}
     scored = stored(_scored(undone, Model(counts)), "scored-0")
@@ -389,7 +386,7 @@ def garbled_tokens(chunks: DataFrame, states: DataFrame) -> tuple[DataFrame, Dat
     for turn in range(ROUNDS):
         weights = sizes.withColumn("mass", F.lit(None).cast("map<string,double>")) if masses is None else sizes.join(masses, "source", "left")
         weights = weights.withColumn("size", F.lit(0.0) if masses is None else F.col("size"))
-        rows = doubtful.join(scored, "h").join(weights.select("*", spread), ["source", "salt"])
+        rows = doubtful.join(weights, "source").join(scored, "h")
         rows = stored(_expected(rows, share).select("source", "h", "n", "chains"), f"posterior-{turn}")
         if turn == ROUNDS - 1:
             break
