@@ -7,6 +7,7 @@ the shuffles; texts join at the end.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -58,9 +59,18 @@ def hashed_vectors(index: DataFrame, key: str, dim: int = DIM) -> DataFrame:
 
 def dense(sparse: DataFrame, key: str, dim: int = DIM) -> DataFrame:
     """(key, vector) of a sparse vector (key, bucket, w)."""
-    filled = F.map_from_entries(F.collect_list(F.struct("bucket", F.col("w").cast("double"))))
-    grid = F.sequence(F.lit(0), F.lit(dim - 1))
-    return sparse.groupBy(key).agg(filled.alias("m")).select(key, F.transform(grid, lambda b: F.coalesce(F.col("m")[b], F.lit(0.0))).alias("vector"))
+
+    @F.pandas_udf("array<double>")
+    def fill(buckets: pd.Series, weights: pd.Series) -> pd.Series:
+        out = []
+        for b, w in zip(buckets, weights, strict=True):
+            v = np.zeros(dim)
+            v[np.asarray(b)] = w
+            out.append(v)
+        return pd.Series(out, dtype=object)
+
+    lists = sparse.groupBy(key).agg(F.collect_list(F.struct("bucket", F.col("w").cast("double").alias("w"))).alias("x"))  # at most dim entries
+    return lists.select(key, fill("x.bucket", "x.w").alias("vector"))
 
 
 def vector_topk(vectors: DataFrame, asked: DataFrame, key: str, query: str, limit: int, digits: int = 4) -> DataFrame:

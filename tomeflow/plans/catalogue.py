@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tomeflow.functions import text as T
+from tomeflow.functions.durable import stored
 from tomeflow.operators import chunking, clean, glossary, search, state, store
 from tomeflow.sources.tables import table
 
@@ -253,7 +254,7 @@ hits AS (SELECT query_id, chunk_id, rrf, sim, (row_number() OVER (PARTITION BY q
 
 def _hits(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     chunks = table(spark, folder, "chunk", "chunk_id", "text", "source", "doc_type")
-    index = search.postings(chunks, "chunk_id", "text")
+    index = stored(search.postings(chunks, "chunk_id", "text"), "postings")
     questions = _questions(spark, folder)
     vectors = search.dense(search.hashed_vectors(index, "chunk_id"), "chunk_id")
     return questions, search.hybrid_hits(questions, index, vectors, "chunk_id"), chunks
