@@ -12,6 +12,7 @@ import base64
 import binascii
 import math
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
@@ -33,8 +34,15 @@ _WORD_AT = rf"[\w.\-]*?(?:{SECRET_WORDS})"
 _QUOTED = r"\\?\"(?P<dq>(?:[^\"\\\n]|\\(?!\").)*?)\\?\"|'(?P<sq>(?:[^'\n]|'')*)'|`(?P<bq>[^`\n]*)`"
 _VALUE = rf"(?:{_QUOTED}|(?P<bare>[^\s\"'`|<,;(]\S*))"
 
-_ASSIGN = re.compile(rf"(?i)(?<![\w\-.])(?P<key>{_WORD_AT})(?![\w\-])\\?[\"'`]?\s*(?::=|=>|==?|[:：|])\s*{_VALUE}")
-_ANY_ASSIGN = re.compile(r"(?P<key>[\w.\-]{1,60})\\?[\"'`]?\s*(?::=|=>|[:=：|])\s*(?:\\?\"(?P<dq>[^\"\\\s]{16,})\\?\"|'(?P<sq>[^'\s]{16,})'|(?P<bare>[A-Za-z0-9+/=_\-.]{16,})(?=[\s,;)|]|$))")
+#: Endings behind a secret word that leave the name a secret's.
+_ENDING = r"(?:[_\-.]?(?:\d{1,4}|v\d|prod|production|dev|test|qa|stage|staging|live|old|new|current|previous|prev|backup|main|primary|secondary|default|value|val|plain|text|clear|raw|b64|base64|admin|root|user|db|app|api|master|slave|replica|read|write|ro|rw))*"
+_ASSIGN = re.compile(rf"(?i)(?<![\w\-.])(?P<key>{_WORD_AT}{_ENDING})(?![\w\-])\\?[\"'`]?\s*(?::=|=>|==?|[:：|])\s*{_VALUE}")
+_STRING = re.compile(_QUOTED)
+_KEYED = re.compile(rf"(?i)(?<![\w\-.])(?P<key>{_WORD_AT}[\w.\-]*)\\?[\"'`]?\s*(?::=|=>|==?|[:：|])\s*{_VALUE}")
+#: A long token, and what a secret's key, if it has one, looks like before it.
+_LONG = re.compile(r"[A-Za-z0-9+/_\-.~!@#$%^&*?=:\\]{16,}")
+_KEY_BEFORE = re.compile(r"(?P<key>[\w.\-]{1,60})\\?[\"'`]?\s*(?::=|=>|==?|[:：|])\s*\\?[\"'`]?$")
+_KEY_INSIDE = re.compile(r"(?P<key>[A-Za-z_][\w.\-]{0,59})(?::=|=>|==?|:)(?=[^=/])")
 _SPOKEN = re.compile(rf"(?i)(?<![\w\-./$])(?:--)?(?:{SECRET_WORDS}|token)(?:\s+(?:is|ist|lautet|es|est|vaut|to)|为|是)?[\s:：]+(?:{_QUOTED}|(?P<bare>[^\s|<,;()]\S*))")
 _SPOKEN_ZH = re.compile(rf"(?:密码|口令|密钥|令牌)(?:为|是|：|:)?\s*(?P<bare>[^\s，。；、（）\u4e00-\u9fff][^\s，。；、（）\u4e00-\u9fff]*)")
 _HEADER = re.compile(r"(?i)\b(?P<scheme>bearer|token|basic)\s+(?P<bare>[^\s\"'`\\<]+)")
@@ -90,6 +98,50 @@ def surprising(token: str, share: float) -> bool:
     return len(token) > 1 and entropy(token) >= share * math.log2(min(len(token), alphabet(token)))
 
 
+#: The letters that follow each letter in words of the texts' Latin languages, and those of "qu".
+_FOLLOW = {x[0]: frozenset(x[1:]) for x in (
+    "abcdfgiklmnprstuvwxy babceijlorsuy cacdehiklmorstuy dabcdefilnorstu eabcdefgiklmnopqrstuvwxy faefilorstuy gaeghilnorsu haeilortu iabcdefgklmnoprstvxz "
+    "jeu kaeils lacdeilopstuvy mabdeilmopsu nacdefgiklnoprstuvy oabcdefgiklmnoprstuvwx padehiloprstuy qu rabcdefgiklmnoprstuvwy "
+    "sacdefghiklmnoprstuy tacdefhilmnoprstuwy uabcdefgilmnoprst vaeio waehinors xaceiptx yeilmnprst zaeio"
+).split()}
+
+
+def pronounceable(part: str, slack: int = 0) -> bool:
+    """Letters only: whether they read like a word (usual pairs of letters, vowels among the consonants). ``slack``: so many unusual pairs more."""
+    low = unicodedata.normalize("NFKD", part).encode("ascii", "ignore").decode().lower()
+    if len(low) < 3:
+        return True
+    unusual = sum(b not in _FOLLOW[a] for a, b in zip(low, low[1:]))
+    if slack and len(low) < 6:
+        return unusual <= len(low) // 2
+    return unusual <= len(low) // 8 + slack and 0.2 - 0.08 * slack <= len(re.findall("[aeiouy]", low)) / len(low) <= 0.8 and not re.search("[^aeiouy]{6}", low)
+
+
+_CASED = re.compile(r"[A-ZÀ-Þ]?[a-zß-ÿ]{2,}|[A-ZÀ-Þ]{2,}(?![a-zß-ÿ])|[A-ZÀ-Þ]")
+_PART = re.compile(r"[0-9a-f]{7,}(?![0-9A-Za-z])|[A-Za-zÀ-ÿ]+|[0-9]+")
+
+
+def _worded(letters: str, slack: int = 0) -> bool:
+    """Letters only: whether they are words with normal capitals (word, Word, WORD, wordWord)."""
+    if letters.islower() or letters.isupper() or letters.istitle():
+        return pronounceable(letters, slack)
+    parts = _CASED.findall(letters)
+    return "".join(parts) == letters and sum(len(x) < 3 for x in parts) <= len(parts) // 4 and all(pronounceable(x, slack) for x in parts)
+
+
+def identifier(value: str) -> bool:
+    """Whether a value is made of words, numbers and hexadecimal ids: names, paths, hosts, versions, slugs."""
+    odd = whole = 0
+    for run in re.findall("[0-9A-Za-zÀ-ÿ]+", value):
+        whole += len(run)
+        if re.fullmatch("(?=.*[0-9])[0-9a-f]{7,}|[0-9]+[A-Za-z]{0,3}", run):
+            continue
+        m = re.fullmatch("([A-Za-zÀ-ÿ]+)[0-9]*", run)
+        if not m or (len(m[1]) > 2 and not _worded(m[1], 1)):
+            odd += len(run)
+    return odd < 0.3 * max(whole, 1)
+
+
 def _clean(value: str, bare: bool) -> str:
     value = value.strip()
     if bare:
@@ -105,14 +157,19 @@ def _kinds(value: str) -> int:
 
 
 def usable(value: str, how: str) -> bool:
-    """Whether a candidate is a usable secret; ``how`` it was introduced: named, spoken or alone."""
+    """Whether a candidate is a usable secret; ``how`` it was introduced: named, spoken, hinted (by a name with a secret word in it) or alone."""
     least = 6 if how == "named" else 8
     if len(value) < least or (how != "named" and " " in value) or _PLACEHOLDER.match(value) or _SAME_END.search(value):
         return False
     if _DATE_OR_NUMBER.fullmatch(value) or _BLOB.match(value) or any("\u4e00" <= c <= "\u9fff" for c in value):
         return False
-    if how == "alone":
-        return len(value) >= 20 and not _UUID.fullmatch(value) and not _HASH.fullmatch(value) and _kinds(value) >= 3 and bool(re.search("[0-9]", value)) and surprising(value, 0.82)
+    if how in ("alone", "hinted"):
+        # the less stands around a value, the nearer to the most that its length allows its entropy must come
+        if not value.isascii() or " " in value or _UUID.search(value) or _HASH.fullmatch(value) or "://" in value or identifier(value):
+            return False
+        if how == "hinted":
+            return surprising(value, 0.7)
+        return (_kinds(re.sub("[^0-9A-Za-z]", "", value)) >= 2 or len(value) >= 16) and surprising(value, 0.82 if len(value) >= 20 else 0.88 if len(value) >= 12 else 0.95)
     if re.fullmatch(r"[A-Za-zÀ-ÿ]+(?:[ _.\-/:][A-Za-zÀ-ÿ]+)*[.,!?:]?", value):  # words
         return how == "named" and bool(re.fullmatch(r"[A-Za-z]{12,}", value)) and bool(re.search("[a-z][A-Z].*[a-z][A-Z]", value)) and surprising(value, 0.8)
     if how == "spoken" and not (re.search("[0-9]", value) or _kinds(value) >= 3):
@@ -140,8 +197,54 @@ def _secret_name(key: str) -> bool:
     return not OTHER_NAMES.search(key)
 
 
-def candidates(line: str, before: str) -> Iterator[tuple[int, int]]:
-    """Spans of the usable secrets in a line; ``before`` is the line above it."""
+_ARMOUR = re.compile(r"-----BEGIN .*?(?:-----END [^\n]*|$)")
+_PEM_LINE = re.compile(r"[\s>|#\"'*]*(?:-----(?:BEGIN|END) .*|(?:[A-Za-z0-9+/]{64}|[A-Za-z0-9+/]{70}|[A-Za-z0-9+/]{72}|[A-Za-z0-9+/]{76}))[\s\\\"'+,]*")
+_WHOLE = re.compile(r"[\s>|#\"'*]*[A-Za-z0-9+/]{4,76}={0,2}[\s\\\"'+,]*")
+_BLOB_BEFORE = re.compile(r"(?i)(?:base64,|ssh-[a-z0-9]+ |ecdsa-sha2-\S+ |sha(?:1|256|384|512)[-:= ]|md5[-:= ])[A-Za-z0-9+/=]*$")
+_GOES_ON = re.compile(r"[\"'`]\s*[+.\\&]?\s*$")
+_HAS_SECRET = re.compile(rf"(?i)(?:{SECRET_WORDS})")
+#: Names with a secret word in them that name something about the secret.
+_ABOUT = re.compile(r"(?i)(?:ttl|file|path|dir|url|uri|host|name|id|hash|hashed|policy|age|length|len|size|count|limit|type|mode|alg|algorithm|format|version|date|time|expiry|expires|rotation|hint|field|column|label|ref|min|max|user|digest|fingerprint)s?$")
+
+
+def loose(line: str, before: str, after: str) -> Iterator[tuple[int, int]]:
+    """Spans of the quoted strings and long tokens that are secrets by themselves; a name before them only moves the threshold."""
+    if _WHOLE.fullmatch(line) and (_PEM_LINE.fullmatch(before) or _PEM_LINE.fullmatch(after)):
+        return  # a line of an armoured block: those of private keys are found as blocks, others are public
+    text = _ARMOUR.sub(lambda m: " " * len(m[0]), line) if "-----" in line else line
+    spans = []
+    for m in _STRING.finditer(text):
+        value, a, b = _value(m)
+        spans.append((value, a, b))
+    for m in _LONG.finditer(text):
+        a, token = m.start(), m[0]
+        at = 0  # names before the value, escapes and what ends a sentence are no part of it
+        if "://" in token:  # who may enter is said before the host, what for behind it
+            at = min([x for x in (token.find(c, token.index("://") + 3) for c in "/?") if x >= 0], default=len(token))
+        else:
+            for k in _KEY_INSIDE.finditer(token):
+                at = k.end()
+        for part in re.finditer(r"[^/?&=#\\]+" if at and "://" in token else r"[^\\]+", token[at:]):
+            value = part[0] if part.start() == 0 or token[at + part.start() - 1] != "\\" else part[0][1:]
+            start = a + at + part.end() - len(value)
+            value = value.rstrip(".,:;!?")
+            if len(value) >= 16:
+                spans.append((value, start, start + len(value)))
+    spans += [_value(m) for m in _KEYED.finditer(text)]
+    for value, a, b in spans:
+        lead = text[:a]
+        if _BLOB_BEFORE.search(lead) or (_GOES_ON.search(before) and not lead.strip(" \t\"'`")):
+            continue  # data, or the rest of a string that began on the line above
+        key = m["key"] if (m := _KEY_BEFORE.search(lead)) else ""
+        if key and PLAIN_NAMES.search(key):
+            continue
+        hinted = key and _HAS_SECRET.search(key) and _secret_name(key) and not _ABOUT.search(key)
+        if usable(value, "hinted" if hinted else "alone"):
+            yield a, b
+
+
+def candidates(line: str, before: str, after: str = "") -> Iterator[tuple[int, int]]:
+    """Spans of the usable secrets in a line; ``before`` and ``after`` are the lines around it."""
     for m in _ISSUED.finditer(line):
         value, a, b = _value(m)
         if not _SAME_END.search(value) and surprising(value, 0.62):
@@ -179,10 +282,7 @@ def candidates(line: str, before: str) -> Iterator[tuple[int, int]]:
         for name, field in zip(columns["names"].split(","), fields, strict=False):
             if field["sq"] is not None and re.search(rf"(?i)(?:{SECRET_WORDS})$", name.strip(" \"`'")) and _secret_name(name) and usable(field["sq"], "named"):
                 yield row.start("row") + field.start("sq"), row.start("row") + field.end("sq")
-    for m in _ANY_ASSIGN.finditer(line):
-        value, a, b = _value(m)
-        if not PLAIN_NAMES.search(m["key"]) and usable(value, "alone"):
-            yield a, b
+    yield from loose(line, before, after)
 
 
 _INT = T.IntegerType()
@@ -192,13 +292,14 @@ _BLOCK_SPANS = T.ArrayType(T.StructType([T.StructField("line", _INT), T.StructFi
 #: Lines without any of these hold no candidate.
 _HINT = (
     r"(?i)pass|pwd|pw|wort|zugang|secret|token|bearer|basic|credential|auth|code|key|mdp|contrase|clave|parola|senha|密码|口令|密钥|令牌|暗号|login|登录|账号|帐号|用户|account|user|anmeldung|konto|compte|identifiant|cuenta|acceso|"
-    r"://|[?&;]sig=|-p|-u |identified|set |values|^\s*\('|val|default|AKIA|ASIA|gh[pousr]_|glpat|xox|sk-|eyJ|_live_|_test_|_sk_|_pk_|_prod_|AIza|SG\.|^\s*[^\s:]+:[0-9*]+:[^\s:]+:|[:=：|]\s*\\?[\"']?[A-Za-z0-9+/=_.\-]{16}"
+    r"://|[?&;]sig=|-p|-u |identified|set |values|^\s*\('|val|default|AKIA|ASIA|gh[pousr]_|glpat|xox|sk-|eyJ|_live_|_test_|_sk_|_pk_|_prod_|AIza|SG\.|^\s*[^\s:]+:[0-9*]+:[^\s:]+:|"
+    r"[A-Za-z0-9+/_\-.~!@#$%^&*?=:]{16}|[\"'`][^\s\"'`]{8}"
 )
 
 
 @F.pandas_udf(_SPANS)
-def _line_spans(line: pd.Series, before: pd.Series) -> pd.Series:
-    return pd.Series([[{"start": a, "end": b} for a, b in sorted(set(candidates(x, y or "")))] for x, y in zip(line, before, strict=True)], dtype=object)
+def _line_spans(line: pd.Series, before: pd.Series, after: pd.Series) -> pd.Series:
+    return pd.Series([[{"start": a, "end": b} for a, b in sorted(set(candidates(x, y or "", z or "")))] for x, y, z in zip(line, before, after, strict=True)], dtype=object)
 
 
 _BEGIN = re.compile(r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?-----")
@@ -245,9 +346,9 @@ def find_credentials(chunks: DataFrame, key: str = "chunk_id", text: str = "text
     """
     slim = chunks.select(F.col(key).alias("_key"), F.col(text).alias("_text")).where(F.length("_text") > 0)
     cut = slim.select("_key", F.split("_text", "\n").alias("_lines"))
-    lines = cut.select("_key", F.inline(F.arrays_zip("_lines", F.concat(F.array(F.lit("")), "_lines").alias("_before"), F.sequence(F.lit(1), F.size("_lines") + 1).alias("_no"))))
+    lines = cut.select("_key", F.inline(F.arrays_zip("_lines", F.concat(F.array(F.lit("")), "_lines").alias("_before"), F.slice(F.concat("_lines", F.array(F.lit(""))), F.lit(2), F.size("_lines")).alias("_after"), F.sequence(F.lit(1), F.size("_lines") + 1).alias("_no"))))
     lines = lines.where(F.col("_lines").rlike(_HINT))
-    spans = lines.select("_key", "_no", F.explode(_line_spans("_lines", "_before")).alias("s")).select("_key", F.col("_no").alias("line_no"), "s.start", "s.end", F.lit(False).alias("block"))
+    spans = lines.select("_key", "_no", F.explode(_line_spans("_lines", "_before", "_after")).alias("s")).select("_key", F.col("_no").alias("line_no"), "s.start", "s.end", F.lit(False).alias("block"))
     blocks = slim.where(F.col("_text").contains("PRIVATE KEY")).select("_key", F.explode(_block_spans("_text")).alias("s"))
     blocks = blocks.select("_key", F.col("s.line").alias("line_no"), "s.start", "s.end", F.lit(True).alias("block"))
     return spans.unionByName(blocks).withColumnRenamed("_key", key)
