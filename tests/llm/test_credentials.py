@@ -52,3 +52,10 @@ def test_value_without_a_name_in_frames(spark):
     df = spark.createDataFrame([(1, 'hosts:\n  - "k3Jq9Xz2Lm4PvT7w"\n  - Xk9vQ2mLr8TzWn4BaJ7c')], "chunk_id long, text string")
     assert sorted(map(tuple, C.credential_lines(df).collect())) == [(1, 2), (1, 3)]
     assert C.mask(df).first().masked == 'hosts:\n  - "****************"\n  - ********************'
+
+
+def test_random_letters():
+    for line in ("pwd = mtoiGj-wGqagi-kOWRTR", 'db_pass: "EuaJyyBwroowX!"', "password: wqzxkvjrtnbd", "secret: QZXKVJWMPTRB", "Das Kennwort lautet wqzxkvjrtnbdl.", "the password is hGqagiWzkO now"):
+        assert list(C.candidates(line, "")), line
+    for line in ("password: correct-horse", "auth: Administrator", "token: internal_service", "Das Kennwort lautet Versicherungsnummer", "the password is forgotten", "secret: NORTH_STATION", "La contraseña está guardada", "password: Schlüsselkasten"):
+        assert not list(C.candidates(line, "")), line

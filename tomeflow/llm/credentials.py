@@ -170,9 +170,10 @@ def usable(value: str, how: str) -> bool:
         if how == "hinted":
             return surprising(value, 0.7)
         return (_kinds(re.sub("[^0-9A-Za-z]", "", value)) >= 2 or len(value) >= 16) and surprising(value, 0.82 if len(value) >= 20 else 0.88 if len(value) >= 12 else 0.95)
-    if re.fullmatch(r"[A-Za-zÀ-ÿ]+(?:[ _.\-/:][A-Za-zÀ-ÿ]+)*[.,!?:]?", value):  # words
+    slack = 1 if how == "spoken" or " " in value else 0  # prose goes on behind a spoken name
+    if re.fullmatch(r"[A-Za-zÀ-ÿ]+(?:[ _.\-/:][A-Za-zÀ-ÿ]+)*[.,!?:]?", value) and all(_worded(x, slack) for x in re.findall("[A-Za-zÀ-ÿ]+", value)):
         return how == "named" and bool(re.fullmatch(r"[A-Za-z]{12,}", value)) and bool(re.search("[a-z][A-Z].*[a-z][A-Z]", value)) and surprising(value, 0.8)
-    if how == "spoken" and not (re.search("[0-9]", value) or _kinds(value) >= 3):
+    if how == "spoken" and not (re.search("[0-9]", value) or _kinds(value) >= 3) and (not value.isascii() or identifier(value)):
         return False
     return surprising(value, 0.62)
 
