@@ -17,7 +17,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -306,6 +306,55 @@ def _line_spans(line: pd.Series, before: pd.Series, after: pd.Series) -> pd.Seri
 _BEGIN = re.compile(r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?-----")
 _MARKER = re.compile(r"-----(BEGIN|END) ((?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?)-----")
 _MATERIAL = re.compile(r"[A-Za-z0-9+/]{16,}={0,2}")
+#: A line in the text or in a string with escaped ends of lines, without what may stand around it.
+_LINE = re.compile(r"(?:(?!\\[rn])[^\n])+")
+_AROUND = " \t\r|>\"'#;,\\"
+_KEY_LINE = re.compile(r"[A-Za-z0-9+/]+={0,2}|=[A-Za-z0-9+/]{4}")
+
+
+def _key_lines(text: str) -> list[tuple[int, int, bool]]:
+    """Lines that are not blank: where they begin and end, and whether they are of base64 alone."""
+    out = []
+    for m in _LINE.finditer(text):
+        line = re.sub("[\"']\\s*\\+\\s*$", "", m[0]).strip(_AROUND)
+        if line:
+            a = m.start() + m[0].index(line)
+            out.append((a, a + len(line), bool(_KEY_LINE.fullmatch(line))))
+    return out
+
+
+def _material(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of key material in a block: lines of any length, and long runs within other lines."""
+    for a, b, whole in _key_lines(text):
+        if whole:
+            yield a, b
+        else:
+            yield from ((a + m.start(), a + m.end()) for m in _MATERIAL.finditer(text[a:b]))
+
+
+def _material_before(head: str) -> int:
+    """Where the material begins that runs up to the end of ``head``; its length if there is none."""
+    first, last = len(head), True
+    for a, b, whole in reversed(_key_lines(head)):
+        line = head[a:b]
+        if not whole:
+            # of a line with something else before the material, as much as is long
+            tail = next((m for m in _MATERIAL.finditer(line) if m.end() == len(line)), None)
+            return a + tail.start() if tail else first
+        if line[0] == "=":
+            continue  # the checksum; the material stands above
+        # within a block lines are long; only the last one and one that the text begins in may be short
+        if b - a < 16 and a > len(head) - len(head.lstrip(_AROUND + "\n")) and not (last and (b - a) % 4 == 0):
+            return first
+        first, last = a, False
+    return first
+
+
+def inside(text: str) -> bool:
+    """Whether a text may be the middle of a key: nothing but lines of base64, long ones between the first and the last, of high entropy."""
+    lines = _key_lines(text)
+    solid = "".join(text[a:b] for a, b, _ in lines)
+    return bool(lines) and all(w for *_, w in lines) and all(b - a >= 40 for a, b, _ in lines[1:-1]) and len(solid) >= 16 and surprising(solid, 0.85)
 
 
 def key_blocks(text: str) -> Iterator[tuple[int, int]]:
@@ -316,14 +365,7 @@ def key_blocks(text: str) -> Iterator[tuple[int, int]]:
             open_at = m.start() if open_at is None else open_at
             continue
         if open_at is None:
-            head = text[: m.start()]
-            material = list(_MATERIAL.finditer(head))
-            # material runs back from the marker without anything but white space between its lines
-            first = m.start()
-            for x in reversed(material):
-                if text[x.end() : first].strip(" \t\r\n|>\"'\\#;-n"):
-                    break
-                first = x.start()
+            first = _material_before(text[: m.start()])
             if first < m.start():
                 yield first, m.end()
         else:
@@ -331,7 +373,7 @@ def key_blocks(text: str) -> Iterator[tuple[int, int]]:
         open_at = None
     if open_at is not None:
         rest = text[open_at:]
-        end = max([0, *(x.end() for x in _MATERIAL.finditer(rest))])
+        end = max([0, *(b for _, b in _material(rest))])
         yield open_at, open_at + max(end, rest.find("-----", 11) + 5)
 
 
@@ -340,10 +382,45 @@ def _block_spans(text: pd.Series) -> pd.Series:
     return pd.Series([[{"line": t.count("\n", 0, a) + 1, "start": a, "end": b} for a, b in key_blocks(t)] for t in text], dtype=object)
 
 
+_STATE = T.StructType([T.StructField(x, T.BooleanType()) for x in ("begins_in", "stays_open", "middle")])
+
+
+@F.pandas_udf(_STATE)
+def _state(text: pd.Series) -> pd.DataFrame:
+    """Of each text: whether its first marker of a private key ends one, whether its last one begins one, and whether it may be the middle of one."""
+    rows = []
+    for t in text:
+        marks = [m[1] for m in _MARKER.finditer(t)]
+        rows.append((bool(marks) and marks[0] == "END", bool(marks) and marks[-1] == "BEGIN", not marks and inside(t)))
+    return pd.DataFrame(rows, columns=["begins_in", "stays_open", "middle"])
+
+
+#: Where a chunk stands in its file.
+PLACE = ("source", "file_hash", "chunk_index")
+
+
+def middles(chunks: DataFrame, key: str, text: str) -> DataFrame:
+    """Spans (as of blocks) of the chunks that are the middle of a private key: nothing but material, and the chunks before them
+    in the file, one after the other, lead to a marker that begins a key or those behind them to one that ends it."""
+    rows = chunks.select(F.col(key).alias("_key"), F.col(text).alias("_text"), *PLACE)
+    rows = rows.where(F.col("_text").contains("PRIVATE KEY") | F.col("_text").rlike(r"[A-Za-z0-9+/]{16}") & F.col("_text").rlike(r"\A[A-Za-z0-9+/=\s|>\"'#;,\\]+\z"))
+    rows = rows.select("_key", *PLACE, F.length("_text").alias("_length"), F.regexp_extract("_text", r"\A([\s|>\"'#;,]*)", 1).alias("_blank"), _state("_text").alias("_s")).where("_s.middle or _s.stays_open or _s.begins_in")
+    # the rows are few: those with a marker of a private key or of base64 alone
+    file = Window.partitionBy("source", "file_hash")
+    rows = rows.withColumn("_run", F.col("chunk_index") - F.dense_rank().over(file.orderBy("chunk_index")))
+    run = Window.partitionBy("source", "file_hash", "_run").orderBy("chunk_index")
+    before = F.last(F.when(~F.col("_s.middle"), F.col("_s.stays_open")), ignorenulls=True).over(run.rangeBetween(Window.unboundedPreceding, -1))
+    behind = F.first(F.when(~F.col("_s.middle"), F.col("_s.begins_in")), ignorenulls=True).over(run.rangeBetween(1, Window.unboundedFollowing))
+    found = rows.withColumn("_before", before).withColumn("_behind", behind).where("_s.middle and coalesce(_before, _behind, false)")
+    line = (F.length("_blank") - F.length(F.regexp_replace("_blank", "\n", "")) + 1).cast("int")
+    return found.select("_key", line.alias("line_no"), F.length("_blank").alias("start"), F.col("_length").alias("end"), F.lit(True).alias("block"))
+
+
 def find_credentials(chunks: DataFrame, key: str = "chunk_id", text: str = "text") -> DataFrame:
     """Spans of secrets: ``key``, ``line_no`` on which one begins (from 1), ``start`` and ``end`` in the line, or in the text for key blocks (``block``).
 
-    Null, empty and blank texts have none. Repeated rows give repeated results. Columns other than the two named are not used.
+    Null, empty and blank texts have none. Repeated rows give repeated results. Of the other columns those of ``PLACE`` are used if all of
+    them are there: they tell whether a chunk without any marker is the middle of a private key.
     """
     slim = chunks.select(F.col(key).alias("_key"), F.col(text).alias("_text")).where(F.length("_text") > 0)
     cut = slim.select("_key", F.split("_text", "\n").alias("_lines"))
@@ -352,7 +429,10 @@ def find_credentials(chunks: DataFrame, key: str = "chunk_id", text: str = "text
     spans = lines.select("_key", "_no", F.explode(_line_spans("_lines", "_before", "_after")).alias("s")).select("_key", F.col("_no").alias("line_no"), "s.start", "s.end", F.lit(False).alias("block"))
     blocks = slim.where(F.col("_text").contains("PRIVATE KEY")).select("_key", F.explode(_block_spans("_text")).alias("s"))
     blocks = blocks.select("_key", F.col("s.line").alias("line_no"), "s.start", "s.end", F.lit(True).alias("block"))
-    return spans.unionByName(blocks).withColumnRenamed("_key", key)
+    found = spans.unionByName(blocks)
+    if set(PLACE) <= set(chunks.columns):
+        found = found.unionByName(middles(chunks, key, text))
+    return found.withColumnRenamed("_key", key)
 
 
 def credential_lines(chunks: DataFrame, key: str = "chunk_id", text: str = "text") -> DataFrame:
@@ -379,7 +459,7 @@ def mask(chunks: DataFrame, key: str = "chunk_id", text: str = "text", sign: str
                 base = 0 if s["block"] else begin[s["line_no"] - 1]
                 a, b = base + s["start"], base + s["end"]
                 if s["block"]:
-                    hidden = [x for m in _MATERIAL.finditer(_MARKER.sub(lambda k: " " * len(k[0]), t[a:b])) for x in range(a + m.start(), a + m.end())]
+                    hidden = [x for p, q in _material(_MARKER.sub(lambda k: " " * len(k[0]), t[a:b])) for x in range(a + p, a + q)]
                 else:
                     hidden = range(a, b)
                 for x in hidden:

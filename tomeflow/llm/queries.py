@@ -12,11 +12,11 @@ from tomeflow.sources.tables import table
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
-    return credentials.credential_lines(table(spark, folder, "chunk", "chunk_id", "text"))
+    return credentials.credential_lines(table(spark, folder, "chunk", "chunk_id", "text", *credentials.PLACE))
 
 
 def p1_masked(spark: SparkSession, folder: str) -> DataFrame:
-    return credentials.mask(table(spark, folder, "chunk", "chunk_id", "text"))
+    return credentials.mask(table(spark, folder, "chunk", "chunk_id", "text", *credentials.PLACE))
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
