@@ -31,3 +31,21 @@ def test_pairs(spark, monkeypatch, cell):
     want = brute(ids, m.astype(np.float64), 5, 0.70)
     assert len(got & want) / len(want) >= 0.97 and len(got & want) / len(got) >= 0.97
     assert N.similar_pairs(df.limit(0), "chunk_id", "vector", dim=32).count() == 0
+
+
+def test_no_node_is_dropped(spark, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK", 8)
+    monkeypatch.setattr(N, "CELL", 8)
+    rng = np.random.default_rng(7)
+    m = rng.standard_normal((400, 32)).astype(np.float32)
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(m)], "chunk_id long, vector array<float>")
+    _, coded, _ = N.nodes(df, "chunk_id", "vector", 32)
+    graph = N.first_graph(coded, 0.99)
+    assert graph.count() == 400 and {r.n for r in graph.selectExpr("size(links) n").collect()} == {N.FEW}
+    assert N._cells(graph, coded).select("node").distinct().count() == 400
+    assert N._cells(graph.where("node % 2 = 0"), coded).count() == 400
+
+
+def test_orders_grow():
+    assert N.orders_for(0) == N.orders_for(20_000) == N.ORDERS
+    assert N.orders_for(20_000_000) > N.orders_for(2_000_000) > N.orders_for(200_000) > N.ORDERS

@@ -24,6 +24,8 @@ from tomeflow.functions.durable import stored
 DIM = 512
 #: Length of a code, number of hyperplane orders for the first graph, nodes in a block or cell, links a node, rounds.
 CODE, ORDERS, BLOCK, CELL, LINKS, ROUNDS = 128, 6, 1024, 1536, 20, 2
+#: So many links of a node are kept whatever their similarity: it may be near nodes that lead on to its neighbours.
+FEW = 3
 #: How far a code's similarity may lie below the least similarity asked for.
 SLACK = 0.18
 SEED = 20240601
@@ -64,14 +66,21 @@ def _codes(rows: list[bytes]) -> np.ndarray:
     return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-9)
 
 
+def orders_for(n: int) -> int:
+    """Hyperplane orders for ``n`` vectors: one more for each doubling of the blocks from 128 on, since a longer prefix of signs is shared more seldom."""
+    return ORDERS + max(0, int(np.ceil(np.log2(max(1.0, n / BLOCK / 128)))))
+
+
 def nodes(vectors: DataFrame, key: str, vector: str, dim: int = DIM) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(id, node) of every usable row, (node, first ids, code, signs of each order) of every node, and (node, packed vector).
 
     A node is named by the smallest id of the rows that hold its vector.
     """
 
+    orders_used = orders_for(vectors.count())
+
     def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        projection, planes = _planes(CODE, dim, 0), [_planes(48, dim, 1 + t) for t in range(ORDERS)]
+        projection, planes = _planes(CODE, dim, 0), [_planes(48, dim, 1 + t) for t in range(orders_used)]
         for batch in batches:
             m, at = _matrix(batch.column(1), dim)
             ids = batch.column(0).take(pa.array(at))
@@ -81,7 +90,7 @@ def nodes(vectors: DataFrame, key: str, vector: str, dim: int = DIM) -> tuple[Da
             signs = [((unit @ p) > 0) @ (1 << np.arange(47, -1, -1, dtype=np.int64)) if len(m) else np.zeros(0, np.int64) for p in planes]
             packed = _packed(m)
             digest = [hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in m]
-            orders = pa.ListArray.from_arrays(pa.array(np.arange(0, len(m) * ORDERS + 1, ORDERS, dtype=np.int32)), pa.array(np.stack(signs, axis=1).ravel() if len(m) else np.zeros(0, np.int64)))
+            orders = pa.ListArray.from_arrays(pa.array(np.arange(0, len(m) * orders_used + 1, orders_used, dtype=np.int32)), pa.array(np.stack(signs, axis=1).ravel() if len(m) else np.zeros(0, np.int64)))
             yield pa.record_batch([ids.cast(pa.int64()), pa.array(digest, pa.binary()), pa.array([c.tobytes() for c in code], pa.binary()), pa.array(packed, pa.binary()), orders], names=["id", "digest", "code", "packed", "signs"])
 
     usable = stored(vectors.select(F.col(key).cast("long"), vector).mapInArrow(prepare, "id long, digest binary, code binary, packed binary, signs array<long>"), "vectors")
@@ -140,11 +149,11 @@ def _top(sims: np.ndarray, k: int) -> np.ndarray:
 
 
 def _links(ids: np.ndarray, others: np.ndarray, sims: np.ndarray, k: int, least: float) -> tuple[pa.Array, pa.Array]:
-    """Of each row, the k most similar others of at least a similarity: their ids and similarities."""
+    """Of each row, the k most similar others of at least a similarity, and the first few of any: their ids and similarities."""
     sims = np.where(ids[:, None] == others[None, :], -2.0, sims)
     best = _top(sims, k)
     value = np.take_along_axis(sims, best, axis=1)
-    keep = value >= least
+    keep = (value >= least) | (np.arange(value.shape[1])[None, :] < FEW) & (value > -2)
     ends = np.concatenate([[0], np.cumsum(keep.sum(axis=1))]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(others[best][keep])), pa.ListArray.from_arrays(pa.array(ends), pa.array(value[keep].astype(np.float32)))
 
@@ -159,15 +168,15 @@ def first_graph(coded: DataFrame, least: float) -> DataFrame:
         links, sims = _links(ids, ids, m @ m.T, LINKS, least)
         return pa.table({"node": table["node"], "links": links, "sims": sims})
 
-    graph = None
-    for t in range(ORDERS):
+    graph, row = None, coded.select(F.size("signs")).first()
+    for t in range(row[0] if row else ORDERS):
         part = _by_blocks(coded.select("node", "code", F.col("signs")[t].alias("sign")), "sign", BLOCK, link, _GRAPH)
         graph = part if graph is None else graph.unionByName(part)
-    return _best_links(graph)
+    return _best_links(graph, least)
 
 
-def _best_links(graph: DataFrame) -> DataFrame:
-    """One row a node from several: its best links over all of them."""
+def _best_links(graph: DataFrame, least: float) -> DataFrame:
+    """One row a node from several: its best links over all of them, of at least a similarity or among its first few."""
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches([*batches]) if (batches := [*batches]) else None
@@ -185,7 +194,7 @@ def _best_links(graph: DataFrame) -> DataFrame:
         node, other, sim = node[first], other[first], sim[first]
         begin = np.flatnonzero(np.r_[True, node[1:] != node[:-1]]) if len(node) else np.zeros(0, np.int64)
         place = np.arange(len(node)) - np.repeat(begin, np.diff(np.r_[begin, len(node)]))
-        keep = place < LINKS
+        keep = (place < LINKS) & ((sim >= least) | (place < FEW))
         node, other, sim = node[keep], other[keep], sim[keep]
         names, n = np.unique(node, return_counts=True)
         ends = pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
@@ -196,7 +205,8 @@ def _best_links(graph: DataFrame) -> DataFrame:
 
 
 def _cells(graph: DataFrame, coded: DataFrame) -> DataFrame:
-    """(node, cell): linked nodes side by side. A node takes the smallest mark among its neighbours' neighbours."""
+    """(node, cell) of all nodes: linked nodes side by side. A node takes the smallest mark among its neighbours' neighbours."""
+    graph = coded.select("node").join(graph, "node", "left").select("node", F.coalesce("links", F.array().cast("array<long>")).alias("links"))
     mark = graph.select("node", F.array_min(F.transform(F.concat(F.array("node"), "links"), lambda x: F.struct(F.xxhash64(x).alias("h"), x.alias("x"))))["h"].alias("mark"))
     edges = graph.select("node", F.explode(F.concat(F.array("node"), "links")).alias("other"))
     label = edges.join(mark.select(F.col("node").alias("other"), "mark"), "other").groupBy("node").agg(F.min("mark").alias("mark"))
@@ -230,7 +240,7 @@ def descend(graph: DataFrame, coded: DataFrame, cells: DataFrame, least: float)
         return pa.table({"node": pa.array(ids[own]), "links": links, "sims": sims})
 
     found = _joined(cells, _reached(graph, cells, 2), coded.select("node", "code"), "code").applyInArrow(improve, _GRAPH)
-    return _best_links(graph.unionByName(found))
+    return _best_links(graph.unionByName(found), least)
 
 
 def neighbour_graph(vectors: DataFrame, key: str, vector: str, k: int = 5, least: float = 0.70, dim: int = DIM) -> tuple[DataFrame, DataFrame]:
