@@ -21,3 +21,14 @@ def test_rows(spark):
     fixed = {r.chunk_id: (r.repaired, r.recovered) for r in M.repaired(df, states).collect()}
     assert fixed[200] == ("Die Prüfung läuft über Nacht", True) and fixed[201] == ("für alle", True) and fixed[203] == ("测试台的台账由值班长检查", True) and not fixed[202][1]
     assert M.garbled_rows(df.limit(0), states.limit(0)).count() == 0
+
+
+def test_single_pairs():
+    cyrillic = {"cp1251", "koi8_r"}
+    for read, written in M.SINGLE_PAIRS:
+        n = 0
+        for text in ("Привет", "отчёт") if written in cyrillic else ("España", "président", "können", "März", "número", "señal"):
+            if (bad := text.encode(written).decode(read, "replace")) != text and "�" not in bad:
+                n += 1
+                assert text in M.originals(bad).values(), (read, written, text)
+        assert n, (read, written)

@@ -117,8 +117,36 @@ _FREQUENT = {w: re.compile(f"(?:[\x00-\x7f]|{p})+") for w, p in {
     "cp932": "[\x81-\x83\x88-\x97][\x40-\xfc]",
     "euc_kr": "[\xa1-\xa3\xb0-\xc8][\xa1-\xfe]",
 }.items()}
-#: A sign that is no letter or usual punctuation, inside a word.
-_ODD = re.compile("[A-Za-z][^\x00-\x7fÀ-ɏ’‘“”„–—…»«°€\xa0\xad\u3000-\u303f\u4e00-\u9fff\uff00-\uffef\ufffd][A-Za-z]|[A-Za-z]{2}[‰¸ˆﬂŠšŸ][a-z]")
+#: The letters of the texts' languages that are written in one byte, by that byte's encodings, and the marks that stand beside words in correct text.
+_LETTERS_OF = {"cp1252": "äöüßÄÖÜàâçéèêëîïôùûÿœæáíóúñÀÂÇÉÈÊËÎÏÔÙÛŒÆÁÍÓÚÑ"}
+_BESIDE = "‘’“”„‚–—…«»°§£€¡¿¢´¨·\xa0\xad"
+
+
+@lru_cache
+def _produced() -> tuple[str, str]:
+    """What the listed pairs make of those letters: signs that are odd beside a letter, and marks that are odd only between two."""
+    made = set()
+    for read, written in SINGLE_PAIRS:
+        for c in _LETTERS_OF["cp1252"]:
+            try:
+                raw = c.encode(written)
+            except UnicodeEncodeError:
+                continue
+            made |= {k for k, b in _bytes_of(read).items() if b.encode("latin-1") == raw and chr(k) != c}
+    chars = {chr(k) for k in made if k >= 0x80}
+    return "".join(sorted(chars - set(_BESIDE))), "".join(sorted(chars & set(_BESIDE)))
+
+
+def _odd_signs() -> str:
+    """A regular expression, for Python and for Java: a sign that a single-byte pair may have made, in or at a word, or any that is no letter or usual punctuation inside of one."""
+    near, between = ("".join(f"\\u{ord(c):04x}" for c in x) for x in _produced())
+    return (
+        "[A-Za-z][^\\u0000-\\u007f\\u00c0-\\u024f’‘“”„–—…«»°€\\u00a0\\u00ad\\u3000-\\u303f\\u4e00-\\u9fff\\uff00-\\uffef\\ufffd][A-Za-z]|"
+        f"[A-Za-z][{near}]|[{near}][A-Za-z]|[A-Za-z\\u00c0-\\u00ff][{between}][A-Za-z\\u00c0-\\u00ff]|[\\u00a3\\u00a8\\u00b3\\u00b8\\u00c0-\\u00ff]{{2}}"
+    )
+
+
+_ODD = re.compile(_odd_signs())
 
 
 def _from_single_single(text: str, read: str, written: str) -> str:
@@ -305,9 +333,9 @@ def _usual() -> str:
 
 def _odd(token: Column) -> Column:
     """Whether a chain may have garbled the token at all: it holds an unusual character, two neighbours below the East
-    Asian scripts, or a Chinese character inside of a Latin word or by itself."""
+    Asian scripts, a sign that a single-byte pair may have made, or a Chinese character inside of a Latin word or by itself."""
     rare = F.translate(token, _usual(), "").rlike(r"[^\x00-\x7F]")
-    return rare | token.rlike(r"[\u0080-\u2e7f]{2}|[A-Za-z][\u4e00-\u9fff]|[\u4e00-\u9fff][a-z]|^[\u4e00-\u9fff]$")
+    return rare | token.rlike(_odd_signs()) | token.rlike(r"[\u0080-\u2e7f]{2}|[A-Za-z][\u4e00-\u9fff]|[\u4e00-\u9fff][a-z]|^[\u4e00-\u9fff]$")
 
 
 def _tokens(chunks: DataFrame) -> DataFrame:
