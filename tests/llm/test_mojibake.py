@@ -32,3 +32,13 @@ def test_single_pairs():
                 n += 1
                 assert text in M.originals(bad).values(), (read, written, text)
         assert n, (read, written)
+
+
+def test_prefilter_drops_nothing(spark):
+    tokens = ["烫烫烫", "屯屯屯屯", "锟斤拷", "x�y", "für", "测试台"]
+    for read, written in (*M.SINGLE_PAIRS, *M.MULTI_PAIRS, *((r, "utf-8") for r in (*M.SINGLE_BYTE, *M.MULTI_BYTE))):
+        tokens += [t.encode(written, "ignore").decode(read, "replace") for t in ("España", "président", "März", "Привет", "过滤器重启", "登記簿", "見積書", "점검")]
+    df = spark.createDataFrame([(t,) for t in sorted(set(tokens)) if t], "token string")
+    passed = {r.token for r in df.where(M._odd(M.F.col("token"))).collect()}
+    doubtful = {t for t in tokens if t and (M.originals(t) or M._LOST.search(t))}
+    assert doubtful - passed == set() and len(doubtful) > 100 and "für" not in passed

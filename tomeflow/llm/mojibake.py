@@ -335,7 +335,7 @@ def _odd(token: Column) -> Column:
     """Whether a chain may have garbled the token at all: it holds an unusual character, two neighbours below the East
     Asian scripts, a sign that a single-byte pair may have made, or a Chinese character inside of a Latin word or by itself."""
     rare = F.translate(token, _usual(), "").rlike(r"[^\x00-\x7F]")
-    return rare | token.rlike(_odd_signs()) | token.rlike(r"[\u0080-\u2e7f]{2}|[A-Za-z][\u4e00-\u9fff]|[\u4e00-\u9fff][a-z]|^[\u4e00-\u9fff]$")
+    return rare | token.rlike(_LOST.pattern) | token.rlike(_odd_signs()) | token.rlike(r"[\u0080-\u2e7f]{2}|[A-Za-z][\u4e00-\u9fff]|[\u4e00-\u9fff][a-z]|^[\u4e00-\u9fff]$")
 
 
 def _tokens(chunks: DataFrame) -> DataFrame:
