@@ -9,12 +9,15 @@ LIST = "- pump\n- valve (3)\n- narrow ledger\n- rig\n"
 
 def test_other_chars():
     words = prose.Words(WORDS)
-    share = lambda t: (lambda o, p: o / (o + p))(*prose.other_chars(t, words))
+    share = lambda t: (lambda k: 1 - k["prose"] / sum(k.values()))(prose.chars_by_kind(t, words))
     for text in (PROSE, PROSE.upper(), PROSE.replace(" ", "\n", 8), "# head\n\n" + PROSE * 3, "由值班长检查的水泵在北侧厂房，并写明原因。" * 3):
         assert share(text) < 0.1, text
     for text in (LIST, "a,b,c\n1,2,3\n4,5,6", "| a | b |\n| --- | --- |\n| 1 | 2 |", "x = 1\ny = 2\n", '{\n  "a": "' + PROSE + '"\n}', "pump valve pump valve pump valve", "SELECT a FROM t\nWHERE b = 1;"):
         assert share(text) > 0.5, text
-    assert prose.other_chars("", words) == (0, 0)
+    assert not any(prose.chars_by_kind("", words).values()) and not any(prose.chars_by_kind("# a heading", words).values())
+    kinds = lambda t: {k for k, n in prose.chars_by_kind(t, words).items() if n}
+    assert kinds(LIST) == {"entries"} and kinds("| a | b |\n| --- | --- |\n| 1 | 2 |") == {"rows"} and kinds("```\nx\n```") == {"code"} and kinds(PROSE) == {"prose"} and kinds("pump valve") == {"loose"}
+    assert kinds(LIST + "\n" + PROSE) == {"entries", "prose"}
 
 
 def test_frames(spark):
@@ -36,3 +39,34 @@ def test_frames(spark):
             want[at] -= np.log(tail)
     assert np.allclose(x.score.values, want, atol=1e-5)
     assert quality.not_prose(df.limit(0), words, labels).count() == 0
+
+
+def test_tails_of_all_languages(spark):
+    """Ranks among all texts, against a plain version; repeated values and small languages included."""
+    rng = np.random.default_rng(5)
+    langs = rng.choice(["en", "de", "und"], 200, p=[0.6, 0.38, 0.02])
+    rows = [(i, str(langs[i]), 3, *[round(float(v), 1) for v in rng.random(len(quality.SIDES))]) for i in range(200)]
+    stats = spark.createDataFrame(rows, "doc_id long, " + quality._FIELDS)
+    got = quality.tails(stats).toPandas().set_index("doc_id").sort_index()
+    x = stats.toPandas().set_index("doc_id")
+    for name, side in quality.SIDES.items():
+        v = x[name].values
+        beyond = lambda a, among: (among >= a).mean() if side > 0 else (among <= a).mean()  # noqa: B023, E731
+        assert np.allclose(got[f"{name}_of_all"], [-np.log(beyond(a, v)) for a in v])
+        assert np.allclose(got[name], [-np.log(beyond(a, v[x.lang.values == g])) for a, g in zip(v, x.lang)])
+
+
+def test_the_score_alone_separates_the_labels(spark):
+    """Texts that weren't labelled are told apart although a tenth of the labels is wrong; the score does it, without any other test."""
+    rng = np.random.default_rng(11)
+    other = [LIST, "a,b,c\n1,2,3\n4,5,6\n", "| a | b |\n| --- | --- |\n| 1 | 2 |\n", "x = 1;\ny = f(2);\n", "pump valve pump valve rig\n\n"]
+    kinds = rng.random(400) < 0.4
+    texts = [other[rng.integers(5)] * int(rng.integers(8, 20)) + PROSE * int(rng.integers(0, 2)) if k else PROSE * int(rng.integers(3, 9)) + LIST * int(rng.integers(0, 2)) for k in kinds]
+    words = prose.Words(WORDS)
+    truth = {i for i, t in enumerate(texts) if (c := prose.chars_by_kind(t, words))["prose"] * 2 < sum(c.values())}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = [(i, ("list" if i in truth else "prose") if rng.random() > 0.1 else ("prose" if i in truth else "list")) for i in range(0, 400, 4)]
+    score = quality.prose_scores(df, spark.createDataFrame(WORDS, "lang string, word string"), spark.createDataFrame(labels, "doc_id long, kind string")).toPandas().set_index("doc_id").score
+    held = [i for i in range(400) if i % 4]
+    assert np.mean([(score[i] > 0) == (i in truth) for i in held]) >= 0.95
+    assert score[[i for i in held if i in truth]].median() > 0 > score[[i for i in held if i not in truth]].median()

@@ -23,7 +23,8 @@ _CODE_END = re.compile(r"(?:[;{}\[(\\]|\),?|=>|\$\w+|\*/)\s*$")
 _GAPS = re.compile(r"\s{2,}|\t")
 _END = re.compile(r"[.!?…。！？]+[\"'”’»)\]」』）]*(?=\s|$|[^\s\w])|[。！？；]")
 _WORD = re.compile(r"[^\W\d_]+(?:[’'\-][^\W\d_]+)*")
-_HAN = re.compile(r"[一-鿿]")
+_HAN = re.compile(r"[一-鿿]+")
+_DIGIT = re.compile(r"\d")
 _TREE = re.compile(r"\s*[│├└─┌┬╰]")
 #: A line that begins with a letter, ends a sentence and holds no sign of code, table or list.
 _SENTENCE_LINE = re.compile(r"[^\W\d_](?![.)、）])[^|\t{}\[\]=;_<>\\/@#$*`]*[.!?。！？]\s*")
@@ -52,22 +53,24 @@ def _solid(text: str) -> int:
     return sum(map(len, text.split()))
 
 
-def _other_line(line: str) -> bool:
-    """Whether a line is a list entry, a row of a table or record, or code, whatever its words."""
+def _kind_of_line(line: str) -> str:
+    """What a line is whatever its words: an entry of a list, a row of a table or record, code, or none of these ("")."""
     if _SENTENCE_LINE.fullmatch(line):
-        return False
-    if _MARK.match(line) or _TREE.match(line) or _RULE.fullmatch(line):
-        return True
-    if line.count("|") >= 2:
-        return True
+        return ""
+    if _MARK.match(line):
+        return "entries"
+    if _TREE.match(line):
+        return "code"
+    if _RULE.fullmatch(line) or line.count("|") >= 2:
+        return "rows"
     if ("  " in line or "\t" in line) and len(cells := _GAPS.split(line.strip())) >= 3 and sum(len(c.split()) for c in cells) <= 4 * len(cells) and len(line) <= 40 * len(cells):
-        return True
+        return "rows"
     if _CODE.match(line) or _CODE_END.search(line):
-        return True
+        return "code"
     m = _PAIR.match(line)
     if not m or m["value"] and _CLAUSE.search(m["value"]):
-        return False
-    return bool("_" in m["key"] or "." in m["key"] or not m["value"] or len(m["value"].split()) <= 4 and len(m["value"]) <= 60)
+        return ""
+    return "code" if "_" in m["key"] or "." in m["key"] or not m["value"] or len(m["value"].split()) <= 4 and len(m["value"]) <= 60 else ""
 
 
 def _sentences(text: str) -> Iterable[tuple[str, bool]]:
@@ -80,88 +83,97 @@ def _sentences(text: str) -> Iterable[tuple[str, bool]]:
 
 
 def _is_prose(sentence: str, ended: bool, words: Words) -> bool:
-    han = 0 if sentence.isascii() else len(_HAN.findall(sentence))
+    han = 0 if sentence.isascii() else sum(map(len, _HAN.findall(sentence)))
     if han and han * 2 > _solid(sentence) * 0.6:
         commas = sentence.count(",") + sentence.count("、")
         return han >= 5 and (ended or han >= 12 and "，" in sentence) and commas * 8 < han and (len(words.han.findall(sentence)) * 30 >= han or "，" in sentence)
-    if not ended and sum(map(str.isdigit, sentence)) * 6 > _solid(sentence):
+    if not ended and len(_DIGIT.findall(sentence)) * 6 > _solid(sentence):
         return False
     tokens = _WORD.findall(sentence.casefold())
     if len(tokens) < 4:
         return False
-    hits = sum(w in words.any for w in tokens)
+    hits = sum(map(words.any.__contains__, tokens))
     commas = sentence.count(",") + sentence.count(";")
     return hits * 9 >= len(tokens) and commas * 3 <= len(tokens) + 3 and (ended or len(tokens) >= 6 and hits * 5 >= len(tokens))
 
 
-def other_chars(text: str, words: Words) -> tuple[int, int]:
-    """Non-blank characters of a text that belong to something else than prose, and that belong to prose. Headings count as neither."""
-    other = prose = 0
-    fence = ""
-    groups: list[list[str]] = [[]]
+def _sentence_chars(lines: list[str], words: Words) -> tuple[int, int]:
+    """Non-blank characters of plain lines that form no sentences, and that do."""
+    loose = prose = 0
+    for s, ended in _sentences("\n".join(lines)):
+        n = _solid(s)
+        # entries before the sentence on lines of their own are not part of it
+        head, _, tail = s.rpartition("\n") if ended and "\n" in s.strip() else ("", "", s)
+        if _is_prose(s, ended, words):
+            prose += n
+        elif head and _is_prose(tail, ended, words):
+            prose += _solid(tail)
+            loose += _solid(head)
+        else:
+            loose += n
+    return loose, prose
+
+
+def _groups(text: str) -> tuple[list[list[str]], int]:
+    """The groups of lines between blank ones, and the non-blank characters of fenced code."""
+    fenced, fence, groups = 0, "", [[]]
     lines = text.replace("\r\n", "\n").replace("\r", "\n").split("\n")
-    marks = [m[1] if ("```" in x or "~~~" in x) and (m := _FENCE.match(x)) else "" for x in lines]
+    has = "```" in text or "~~~" in text
+    marks = [m[1] if ("```" in x or "~~~" in x) and (m := _FENCE.match(x)) else "" for x in lines] if has else []
     closing = {k: i for i, k in enumerate(k[:1] for k in marks) if k}
     for i, line in enumerate(lines):
-        # a fence that nothing closes is none
-        m = _FENCE.match(line) if marks[i] and (fence or closing[marks[i][0]] > i) else None
-        if fence:
-            other += _solid(line)
-            if m and m[1][0] == fence[0] and len(m[1]) >= len(fence):
-                fence = ""
-            continue
-        if m:
-            fence = m[1]
-            other += _solid(line)
-            continue
-        if not line.strip():
-            groups.append([])
+        if has:
+            # a fence that nothing closes is none
+            m = _FENCE.match(line) if marks[i] and (fence or closing[marks[i][0]] > i) else None
+            if fence or m:
+                fenced += _solid(line)
+                if not fence:
+                    fence = m[1]
+                elif m and m[1][0] == fence[0] and len(m[1]) >= len(fence):
+                    fence = ""
+                continue
+        if not line or line.isspace():
+            if groups[-1]:
+                groups.append([])
         else:
             groups[-1].append(line)
+    return groups, fenced
+
+
+#: What the characters of a text are counted as.
+KINDS = ("entries", "rows", "code", "loose", "prose")
+
+
+def chars_by_kind(text: str, words: Words) -> dict[str, int]:
+    """Non-blank characters of a text in entries of lists, rows of tables or records, code, words that form no sentences, and prose. Headings count as none of them."""
+    groups, fenced = _groups(text)
+    out = dict.fromkeys(KINDS, 0)
+    out["code"] = fenced
     for group in groups:
         if not group:
             continue
-        kinds = [None if "#" in x and _HEADING.match(x) else _other_line(x.lstrip("> ") if x.lstrip().startswith(">") else x) for x in group]
-        known = [x for x in kinds if x is not None]
-        rows = sum(known)
+        kinds = [None if "#" in x and _HEADING.match(x) else _kind_of_line(x.lstrip("> ") if x.lstrip().startswith(">") else x) for x in group]
         # records of one shape: comma-separated lines with the same number of cells
-        top, n = Counter(x.count(",") for x in group).most_common(1)[0] if len(group) >= 2 else (0, 0)
+        top, n = Counter([x.count(",") for x in group]).most_common(1)[0] if len(group) >= 2 else (0, 0)
         if top >= 1 and n * 10 >= len(group) * 9 and sum(len(c.split()) for x in group for c in x.split(",")) <= 3.2 * len(group) * (top + 1):
-            other += sum(map(_solid, group))
+            out["rows"] += sum(map(_solid, group))
+            continue
+        known = [x for x in kinds if x is not None]
+        if len(known) > 1 and sum(map(bool, known)) * 10 >= len(known) * 4 and sum(bool(_CODE.match(x) or _CODE_END.search(x) or _PAIR.match(x)) for x in group) * 2 >= len(group):
+            out["code"] += sum(map(_solid, group))
             continue
-        if known and rows * 10 >= len(known) * 4 and len(known) > 1:
-            coded = sum(bool(_CODE.match(x) or _CODE_END.search(x) or _PAIR.match(x)) for x in group)
-            if coded * 2 >= len(group):
-                other += sum(map(_solid, group))
-                continue
         plain: list[str] = []
-
-        def close(lines: list[str]) -> tuple[int, int]:
-            a = b = 0
-            for s, ended in _sentences("\n".join(lines)):
-                n = _solid(s)
-                # entries before the sentence on lines of their own are not part of it
-                head, _, tail = s.rpartition("\n") if ended and "\n" in s.strip() else ("", "", s)
-                if _is_prose(s, ended, words):
-                    b += n
-                elif head and _is_prose(tail, ended, words):
-                    b += _solid(tail)
-                    a += _solid(head)
-                else:
-                    a += n
-            return a, b
-
-        for line, mark in zip(group, kinds, strict=True):
-            if mark is None:
+        for line, kind in zip([*group, ""], [*kinds, "end"], strict=True):
+            if kind is None:
                 continue
-            if mark:
-                if plain:
-                    a, b = close(plain)
-                    other, prose, plain = other + a, prose + b, []
-                other += _solid(line)
-            else:
+            if not kind:
                 plain.append(line.lstrip("> "))
-        if plain:
-            a, b = close(plain)
-            other, prose = other + a, prose + b
-    return other, prose
+                continue
+            if plain:
+                loose, prose = _sentence_chars(plain, words)
+                out["loose"] += loose
+                out["prose"] += prose
+                plain = []
+            if kind != "end":
+                out[kind] += _solid(line)
+    return out
