@@ -1,9 +1,10 @@
 """Credentials written out in texts: where they begin, and the texts with them masked.
 
-Spark cuts the texts into lines and keeps those that hold a quoted string or long token, or a word that
-introduces a secret. Of each such line the candidates are taken out, and a candidate counts if its Shannon
-entropy, in the alphabet that it is written in, is above a threshold adjusted to its length, and it is no
-hash, identifier, reference or placeholder. What introduces a candidate decides how strict the threshold is.
+Lines that hold a quoted string or long token, or a word that introduces a secret, are looked at. Of each such
+line the candidates are taken out, and a candidate counts if its Shannon entropy, in the alphabet that it is
+written in, is above a threshold adjusted to its length, and it is no hash, identifier, reference or placeholder.
+What introduces a candidate decides how strict the threshold is. Texts are searched and masked where Spark reads
+them: nothing but what was found is shuffled.
 """
 
 from __future__ import annotations
@@ -13,11 +14,14 @@ import binascii
 import math
 import re
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
+import ahocorasick
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,7 +35,7 @@ OTHER_NAMES = re.compile(r"(?i)(?:^|[_\-. ])(?:public|pub|max|min|num|no|use|has
 PLAIN_NAMES = re.compile(r"(?i)(?:public|fingerprint|digest|checksum|sha\d*|md5|commit|revision|build|trace|request|tenant|integrity|thumbnail|image|uuid|guid|etag|nonce|version|(?:^|[_-])id$|hash|file|path|url$|crc|serial)")
 
 _WORD_AT = rf"[\w.\-]*?(?:{SECRET_WORDS})"
-_QUOTED = r"\\?\"(?P<dq>(?:[^\"\\\n]|\\(?!\").)*?)\\?\"|'(?P<sq>(?:[^'\n]|'')*)'|`(?P<bq>[^`\n]*)`"
+_QUOTED = r"\\?\"(?P<dq>(?:[^\"\\\n]|\\(?!\").)*?)\\?\"|(?:\b[NEne])?'(?P<sq>(?:[^'\n]|'')*)'|`(?P<bq>[^`\n]*)`"
 _VALUE = rf"(?:{_QUOTED}|(?P<bare>[^\s\"'`|<,;(]\S*))"
 
 #: Endings behind a secret word that leave the name a secret's.
@@ -44,13 +48,15 @@ _LONG = re.compile(r"[A-Za-z0-9+/_\-.~!@#$%^&*?=:\\]{16,}")
 _KEY_BEFORE = re.compile(r"(?P<key>[\w.\-]{1,60})\\?[\"'`]?\s*(?::=|=>|==?|[:：|])\s*\\?[\"'`]?$")
 _KEY_INSIDE = re.compile(r"(?P<key>[A-Za-z_][\w.\-]{0,59})(?::=|=>|==?|:)(?=[^=/])")
 _SPOKEN = re.compile(rf"(?i)(?<![\w\-./$])(?:--)?(?:{SECRET_WORDS}|token)(?:\s+(?:is|ist|lautet|es|est|vaut|to)|为|是)?[\s:：]+(?:{_QUOTED}|(?P<bare>[^\s|<,;()]\S*))")
-_SPOKEN_ZH = re.compile(rf"(?:密码|口令|密钥|令牌)(?:为|是|：|:)?\s*(?P<bare>[^\s，。；、（）\u4e00-\u9fff][^\s，。；、（）\u4e00-\u9fff]*)")
+_SPOKEN_ZH = re.compile(r"(?:密码|口令|密钥|令牌)(?:为|是|：|:)?\s*(?P<bare>[^\s，。；、（）\u4e00-\u9fff\"'`_=:,.|<>{}\[\]][^\s，。；、（）\u4e00-\u9fff\"'`]*)")
+#: A value that is named behind it.
+_NAMED_AFTER = re.compile(rf"(?i)(?<![^\s\"'`(])[\"'`]?(?P<bare>[^\s\"'`]+)[\"'`]?\s+(?:as|als|como|comme)\s+(?:(?:the|your|das|ihr|la|su|le|votre)\s+)?(?:{SECRET_WORDS})\b|(?:用|以)\s*(?P<sq>[^\s\u4e00-\u9fff]+)\s*(?:作为|为|作)(?:密码|口令|密钥|令牌)")
 _HEADER = re.compile(r"(?i)\b(?P<scheme>bearer|token|basic)\s+(?P<bare>[^\s\"'`\\<]+)")
 _URL = re.compile(r"(?i)\b[a-z][a-z0-9+.\-]*://[^\s:/@\"'`]*:(?P<bare>[^\s\"'`/]+)@(?=[\w\[])")
 _QUERY = re.compile(rf"(?i)(?:[?&;]|\b)(?:{_WORD_AT}|sig)=(?P<bare>[^&;\s\"'`,)]+)")
 _SQL_SAYS = re.compile(r"(?i)\b(?:password|identified\s+by|passphrase|secret)\s+(?:E)?'(?P<sq>(?:[^'\n]|'')*)'")
 _SET = re.compile(rf"(?i)\bset\s+\w+\s*=\s*'(?P<sq>(?:[^'\n]|'')*)'\s+where\s+\w+\s*=\s*'(?P<key>[^'\n]*)'")
-_PAIR = re.compile(rf"(?i)(?:credentials?|log-?in|account|user|zugang|anmeldung|konto|compte|identifiants?|cuenta|acceso|登录|账号|帐号|用户)[^:：\n]{{0,20}}[:：]\s*[\w.\-@]+\s*/\s*(?P<bare>\S+)")
+_PAIR = re.compile(rf"(?i)(?:credentials?|log-?in|account|user|\b(?:dba|admin|root)\b|zugang|anmeldung|konto|compte|identifiants?|cuenta|acceso|登录|账号|帐号|用户)[^:：\n]{{0,20}}[:：]\s*[\w.\-@]+\s*/\s*(?P<bare>\S+)")
 _SHORT = re.compile(r"(?:\bsshpass\s+-p\s*|\b(?:mysql|mysqldump|mysqladmin|mariadb)\b[^\n]*?\s-p|\b(?:docker|podman|az|helm)\b[^\n]*?\s-p\s+)(?:'(?P<sq>[^'\n]*)'|\"(?P<dq>[^\"\n]*)\"|(?P<bare>[^\s'\"]+))")
 _USERPWD = re.compile(r"\bcurl\b[^\n]*?\s(?:-u|--user)\s*[\"']?[^\s:\"']+:(?P<bare>[^\s\"']+)")
 _TAG = re.compile(rf"(?i)<(?P<key>[\w.\-]*(?:{SECRET_WORDS}))>(?P<bare>[^<\n]+)</")
@@ -70,7 +76,7 @@ _PLACEHOLDER = re.compile(
     r"(?i)^(?:|null|nil|none|~|true|false|yes|no|n/a|tbd|undefined|\|[-+]?|>[-+]?|[*•·.xX#_\-?]+|"
     r"(?:secretref|vault|env|keyring|ssm|aws-sm|gcp-sm|file|op|ref|arn|kms|sops|pass|lookup|secret|secrets|akv|bw)(?::|://).*|"
     r".*(?:redacted|masked|placeholder|change[_\- ]?me|replace[_\- ]|your[_\- ]|[_\- ]here\b|example|dummy|insert[_\- ]|to[_\-]?be[_\-]|hidden|removed|sample|geheim|todo).*|"
-    r"\$?\{.*\}[^}]*|\$\([^)]*\).*|\$[A-Za-z_]\w*|\$[A-Za-z_]\w*:.*|<[^<>]*>|\[[^\[\]]*\]|\([^()]*\)|%[A-Za-z_]\w*%|%\([^)]*\)s|&&?[A-Za-z_]\w*\.?|:'?\w+'?|@[A-Za-z_.]+@?|!(?:ref|sub|vault|env)\b.*|"
+    r"\$?\{.*\}[^}]*|\$\([^)]*(?:\).*|$)|\$[A-Za-z_]\w*|\$[A-Za-z_]\w*:.*|<[^<>]*>|\[[^\[\]]*\]|\([^()]*\)|%[A-Za-z_]\w*%|%\([^)]*\)s|&&?[A-Za-z_]\w*\.?|:'?\w+'?|@[A-Za-z_.]+@?|!(?:ref|sub|vault|env)\b.*|"
     r"(?:process\.env|os\.environ|getenv|System\.getenv|read_vault|get_secret|config|settings|secrets|vars?|self|this|env|data)[.\[(].*|(?-i:\.{0,2}/[a-z0-9_./\-]*)|https?://.*|ssh-(?:rsa|ed25519|dss).*|-----.*)$"
 )
 _SAME_END = re.compile(r"(?i)(?:([x*•0.\-_#])\1{5,}|abcdef1?|123456)")
@@ -254,7 +260,7 @@ def candidates(line: str, before: str, after: str = "") -> Iterator[tuple[int, i
         value, a, b = _value(m)
         if _secret_name(m["key"]) and usable(value, "named"):
             yield a, b
-    for pattern in (_SPOKEN, _SPOKEN_ZH):
+    for pattern in (_SPOKEN, _SPOKEN_ZH, _NAMED_AFTER):
         for m in pattern.finditer(line):
             value, a, b = _value(m)
             value = value.rstrip(".。")
@@ -286,28 +292,46 @@ def candidates(line: str, before: str, after: str = "") -> Iterator[tuple[int, i
     yield from loose(line, before, after)
 
 
-_INT = T.IntegerType()
-_SPANS = T.ArrayType(T.StructType([T.StructField("start", _INT), T.StructField("end", _INT)]))
-_BLOCK_SPANS = T.ArrayType(T.StructType([T.StructField("line", _INT), T.StructField("start", _INT), T.StructField("end", _INT)]))
-
-#: Lines without any of these hold no candidate.
-_HINT = (
-    r"(?i)pass|pwd|pw|wort|zugang|secret|token|bearer|basic|credential|auth|code|key|mdp|contrase|clave|parola|senha|密码|口令|密钥|令牌|暗号|login|登录|账号|帐号|用户|account|user|anmeldung|konto|compte|identifiant|cuenta|acceso|"
-    r"://|[?&;]sig=|-p|-u |identified|set |values|^\s*\('|val|default|AKIA|ASIA|gh[pousr]_|glpat|xox|sk-|eyJ|_live_|_test_|_sk_|_pk_|_prod_|AIza|SG\.|^\s*[^\s:]+:[0-9*]+:[^\s:]+:|"
-    r"[A-Za-z0-9+/_\-.~!@#$%^&*?=:]{16}|[\"'`][^\s\"'`]{8}"
+#: Of these, in small letters, or of quoted strings, long tokens and rows a line must hold one to hold a candidate.
+_HINTS = tuple(
+    "pass|pwd|pw|wort|zugang|secret|token|bearer|basic|credential|auth|code|key|mdp|contrase|clave|parola|senha|密码|口令|密钥|令牌|暗号|login|登录|账号|帐号|用户|account|user|anmeldung|konto|compte|identifiant|cuenta|acceso|"
+    "://|?sig=|&sig=|;sig=|-p|-u |identified|set |values|val|default|dba|admin|root|akia|asia|ghp_|gho_|ghu_|ghs_|ghr_|github_pat_|glpat|xox|sk-|eyj|_live_|_test_|_sk_|_pk_|_prod_|aiza|sg.".split("|")
 )
+_LONG_PART = re.compile(r"[A-Za-z0-9+/_\-.~!@#$%^&*?=:]{16}|[\"'`][^\s\"'`]{8}|^[^\S\n]*\('|^[^\S\n]*[^\s:]+:[0-9*]+:[^\s:]+:", re.M)
 
 
-@F.pandas_udf(_SPANS)
-def _line_spans(line: pd.Series, before: pd.Series, after: pd.Series) -> pd.Series:
-    return pd.Series([[{"start": a, "end": b} for a, b in sorted(set(candidates(x, y or "", z or "")))] for x, y, z in zip(line, before, after, strict=True)], dtype=object)
+@lru_cache
+def _hint_words() -> ahocorasick.Automaton:
+    words = ahocorasick.Automaton()
+    for w in _HINTS:
+        words.add_word(w, w)
+    words.make_automaton()
+    return words
+
+
+def _lower(text: str) -> str:
+    """Small letters, each in the place of its capital."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+
+
+def line_spans(text: str) -> Iterator[tuple[int, int, int]]:
+    """(line, start, end) of the secrets of a text, ``start`` and ``end`` from the beginning of the text; without the blocks of private keys."""
+    lines, begin = text.split("\n"), [0]
+    for x in lines:
+        begin.append(begin[-1] + len(x) + 1)
+    hits = {bisect_right(begin, at) - 1 for at, _ in _hint_words().iter(_lower(text))}
+    hits |= {bisect_right(begin, m.start()) - 1 for m in _LONG_PART.finditer(text)}
+    for i in sorted(hits):
+        for a, b in sorted(set(candidates(lines[i], lines[i - 1] if i else "", lines[i + 1] if i + 1 < len(lines) else ""))):
+            yield i + 1, begin[i] + a, begin[i] + b
 
 
 _BEGIN = re.compile(r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?-----")
 _MARKER = re.compile(r"-----(BEGIN|END) ((?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?)-----")
 _MATERIAL = re.compile(r"[A-Za-z0-9+/]{16,}={0,2}")
 #: A line in the text or in a string with escaped ends of lines, without what may stand around it.
-_LINE = re.compile(r"(?:(?!\\[rn])[^\n])+")
+_LINE = re.compile(r"\\[rn]|((?:(?!\\[rn])[^\n])+)")
 _AROUND = " \t\r|>\"'#;,\\"
 _KEY_LINE = re.compile(r"[A-Za-z0-9+/]+={0,2}|=[A-Za-z0-9+/]{4}")
 
@@ -316,7 +340,7 @@ def _key_lines(text: str) -> list[tuple[int, int, bool]]:
     """Lines that are not blank: where they begin and end, and whether they are of base64 alone."""
     out = []
     for m in _LINE.finditer(text):
-        line = re.sub("[\"']\\s*\\+\\s*$", "", m[0]).strip(_AROUND)
+        line = re.sub("[\"']\\s*\\+\\s*$", "", m[1] or "").strip(_AROUND)
         if line:
             a = m.start() + m[0].index(line)
             out.append((a, a + len(line), bool(_KEY_LINE.fullmatch(line))))
@@ -377,9 +401,22 @@ def key_blocks(text: str) -> Iterator[tuple[int, int]]:
         yield open_at, open_at + max(end, rest.find("-----", 11) + 5)
 
 
-@F.pandas_udf(_BLOCK_SPANS)
-def _block_spans(text: pd.Series) -> pd.Series:
-    return pd.Series([[{"line": t.count("\n", 0, a) + 1, "start": a, "end": b} for a, b in key_blocks(t)] for t in text], dtype=object)
+def text_spans(text: str | None) -> list[tuple[int, int, int, bool]]:
+    """(line, start, end, block) of all secrets of a text."""
+    if not text:
+        return []
+    found = [(*x, False) for x in line_spans(text)]
+    if "PRIVATE KEY" in text:
+        found += [(text.count("\n", 0, a) + 1, a, b, True) for a, b in key_blocks(text)]
+    return found
+
+
+_SPANS = T.ArrayType(T.StructType([*(T.StructField(x, T.IntegerType()) for x in ("line_no", "start", "end")), T.StructField("block", T.BooleanType())]))
+
+
+@F.pandas_udf(_SPANS)
+def _spans(text: pd.Series) -> pd.Series:
+    return pd.Series([[{"line_no": n, "start": a, "end": b, "block": k} for n, a, b, k in text_spans(t)] for t in text], dtype=object)
 
 
 _STATE = T.StructType([T.StructField(x, T.BooleanType()) for x in ("begins_in", "stays_open", "middle")])
@@ -399,11 +436,16 @@ def _state(text: pd.Series) -> pd.DataFrame:
 PLACE = ("source", "file_hash", "chunk_index")
 
 
+def _may_be_middle(text: Column) -> Column:
+    """Whether a text holds nothing but lines of base64."""
+    return F.coalesce(text.rlike(r"[A-Za-z0-9+/]{16}") & text.rlike(r"\A[A-Za-z0-9+/=\s|>\"'#;,\\]+\z"), F.lit(False))
+
+
 def middles(chunks: DataFrame, key: str, text: str) -> DataFrame:
     """Spans (as of blocks) of the chunks that are the middle of a private key: nothing but material, and the chunks before them
     in the file, one after the other, lead to a marker that begins a key or those behind them to one that ends it."""
     rows = chunks.select(F.col(key).alias("_key"), F.col(text).alias("_text"), *PLACE)
-    rows = rows.where(F.col("_text").contains("PRIVATE KEY") | F.col("_text").rlike(r"[A-Za-z0-9+/]{16}") & F.col("_text").rlike(r"\A[A-Za-z0-9+/=\s|>\"'#;,\\]+\z"))
+    rows = rows.where(F.col("_text").contains("PRIVATE KEY") | _may_be_middle(F.col("_text")))
     rows = rows.select("_key", *PLACE, F.length("_text").alias("_length"), F.regexp_extract("_text", r"\A([\s|>\"'#;,]*)", 1).alias("_blank"), _state("_text").alias("_s")).where("_s.middle or _s.stays_open or _s.begins_in")
     # the rows are few: those with a marker of a private key or of base64 alone
     file = Window.partitionBy("source", "file_hash")
@@ -417,19 +459,13 @@ def middles(chunks: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def find_credentials(chunks: DataFrame, key: str = "chunk_id", text: str = "text") -> DataFrame:
-    """Spans of secrets: ``key``, ``line_no`` on which one begins (from 1), ``start`` and ``end`` in the line, or in the text for key blocks (``block``).
+    """Spans of secrets: ``key``, ``line_no`` on which one begins (from 1), ``start`` and ``end`` in the text, and whether it is key material (``block``).
 
     Null, empty and blank texts have none. Repeated rows give repeated results. Of the other columns those of ``PLACE`` are used if all of
     them are there: they tell whether a chunk without any marker is the middle of a private key.
     """
     slim = chunks.select(F.col(key).alias("_key"), F.col(text).alias("_text")).where(F.length("_text") > 0)
-    cut = slim.select("_key", F.split("_text", "\n").alias("_lines"))
-    lines = cut.select("_key", F.inline(F.arrays_zip("_lines", F.concat(F.array(F.lit("")), "_lines").alias("_before"), F.slice(F.concat("_lines", F.array(F.lit(""))), F.lit(2), F.size("_lines")).alias("_after"), F.sequence(F.lit(1), F.size("_lines") + 1).alias("_no"))))
-    lines = lines.where(F.col("_lines").rlike(_HINT))
-    spans = lines.select("_key", "_no", F.explode(_line_spans("_lines", "_before", "_after")).alias("s")).select("_key", F.col("_no").alias("line_no"), "s.start", "s.end", F.lit(False).alias("block"))
-    blocks = slim.where(F.col("_text").contains("PRIVATE KEY")).select("_key", F.explode(_block_spans("_text")).alias("s"))
-    blocks = blocks.select("_key", F.col("s.line").alias("line_no"), "s.start", "s.end", F.lit(True).alias("block"))
-    found = spans.unionByName(blocks)
+    found = slim.select("_key", F.inline(_spans("_text")))
     if set(PLACE) <= set(chunks.columns):
         found = found.unionByName(middles(chunks, key, text))
     return found.withColumnRenamed("_key", key)
@@ -440,34 +476,40 @@ def credential_lines(chunks: DataFrame, key: str = "chunk_id", text: str = "text
     return find_credentials(chunks, key, text).select(key, "line_no").distinct()
 
 
-def mask(chunks: DataFrame, key: str = "chunk_id", text: str = "text", sign: str = "*") -> DataFrame:
-    """``key``, ``masked`` text and ``n_secrets`` of every row: each secret's letters and digits are replaced one by one, so that
-    lines, quotes and lengths stay. Null text stays null. ``key`` must identify a row."""
+def masked_text(text: str, spans: list[tuple[int, int, bool]], sign: str) -> str:
+    """A text with the letters, digits and other signs of its secrets replaced; white space, quotes and escapes stay, and of blocks all but their material."""
+    signs = list(text)
+    for a, b, block in spans:
+        parts = [(a + p, a + q) for p, q in _material(_MARKER.sub(lambda k: " " * len(k[0]), text[a:b]))] if block else [(a, b)]
+        for p, q in parts:
+            for x in range(p, q):
+                if not signs[x].isspace() and signs[x] not in "\"'\\" and (x == 0 or text[x - 1] != "\\"):
+                    signs[x] = sign
+    return "".join(signs)
+
+
+def mask(chunks: DataFrame, key: str = "chunk_id", text: str = "text", sign: str = "x") -> DataFrame:
+    """``key``, ``masked`` text and ``n_secrets`` of every row: each secret's signs are replaced one by one, so that lines, quotes
+    and lengths stay and the text means what it did to a parser. Null text stays null. ``key`` must identify a row.
+
+    A row is masked where it is read; only those of nothing but base64 are joined with the others of their files.
+    """
 
-    @F.pandas_udf("string")
-    def hide(texts: pd.Series, spans: pd.Series) -> pd.Series:
+    @F.pandas_udf("masked string, n_secrets int")
+    def hide(texts: pd.Series, more: pd.Series) -> pd.DataFrame:
         out = []
-        for t, found in zip(texts, spans, strict=True):
-            if t is None or found is None or not len(found):
-                out.append(t)
-                continue
-            begin, at = [0], -1
-            while (at := t.find("\n", at + 1)) >= 0:
-                begin.append(at + 1)
-            letters = list(t)
-            for s in found:
-                base = 0 if s["block"] else begin[s["line_no"] - 1]
-                a, b = base + s["start"], base + s["end"]
-                if s["block"]:
-                    hidden = [x for p, q in _material(_MARKER.sub(lambda k: " " * len(k[0]), t[a:b])) for x in range(a + p, a + q)]
-                else:
-                    hidden = range(a, b)
-                for x in hidden:
-                    if not letters[x].isspace() and letters[x] not in "\"'\\":
-                        letters[x] = sign
-            out.append("".join(letters))
-        return pd.Series(out, dtype=object)
-
-    spans = find_credentials(chunks, key, text).groupBy(key).agg(F.collect_list(F.struct("line_no", "start", "end", "block")).alias("spans"))
-    rows = chunks.select(key, F.col(text).alias("text")).join(spans, key, "left")
-    return rows.select(key, hide("text", "spans").alias("masked"), F.coalesce(F.size("spans"), F.lit(0)).alias("n_secrets"))
+        for t, middle in zip(texts, more, strict=True):
+            spans = [(a, b, k) for _, a, b, k in text_spans(t)] + [(s["start"], s["end"], s["block"]) for s in (middle if middle is not None else ())]
+            out.append((masked_text(t, spans, sign) if spans else t, len(spans)))
+        return pd.DataFrame(out, columns=["masked", "n_secrets"])
+
+    placed = set(PLACE) <= set(chunks.columns)
+    rows = chunks.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    nothing = F.lit(None).cast("array<struct<start:int,end:int,block:boolean>>")
+    if not placed:
+        rows = rows.withColumn("_more", nothing)
+    else:
+        found = middles(chunks, key, text).groupBy("_key").agg(F.collect_list(F.struct("start", "end", "block")).alias("_more"))  # one a row
+        solid = rows.where(_may_be_middle(F.col("_text"))).join(found, "_key", "left")
+        rows = rows.where(~_may_be_middle(F.col("_text"))).withColumn("_more", nothing).unionByName(solid)
+    return rows.select(F.col("_key").alias(key), hide("_text", "_more").alias("_x")).select(key, "_x.masked", "_x.n_secrets")
