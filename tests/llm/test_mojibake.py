@@ -34,11 +34,36 @@ def test_single_pairs():
         assert n, (read, written)
 
 
-def test_prefilter_drops_nothing(spark):
-    tokens = ["烫烫烫", "屯屯屯屯", "锟斤拷", "x�y", "für", "测试台"]
+def _model():
+    texts = ["Die Prüfung läuft über Nacht für alle Geräte, und können die Größe der Lösung im März prüfen.", "El técnico revisa el número en el sótano de España, señal número aquí.", "Le président doit préparer la grève, été naïve.", "测试台的台账由值班长检查，并写明原因。过滤器重启登记簿", "Привет отчёт", "見積書は登記簿", "점검", "25 °C"]
+    return M.Model(dict(M._counted((t, 20.0) for x in texts for t in x.split())))
+
+
+def test_likelihood_keeps_what_was_garbled():
+    """No token that a chain has garbled is out of the question, whatever its characters; long correct text is."""
+    model = _model()
     for read, written in (*M.SINGLE_PAIRS, *M.MULTI_PAIRS, *((r, "utf-8") for r in (*M.SINGLE_BYTE, *M.MULTI_BYTE))):
-        tokens += [t.encode(written, "ignore").decode(read, "replace") for t in ("España", "président", "März", "Привет", "过滤器重启", "登記簿", "見積書", "점검")]
-    df = spark.createDataFrame([(t,) for t in sorted(set(tokens)) if t], "token string")
-    passed = {r.token for r in df.where(M._odd(M.F.col("token"))).collect()}
-    doubtful = {t for t in tokens if t and (M.originals(t) or M._LOST.search(t))}
-    assert doubtful - passed == set() and len(doubtful) > 100 and "für" not in passed
+        for text in ("España", "président", "März", "Привет", "过滤器重启", "登記簿", "見積書", "점검", "Lösung", "25°C"):
+            bad = text.encode(written, "ignore").decode(read, "replace")
+            if text in M.originals(bad).values():
+                assert text in [x[1] for x in M.likely(bad, model)], (read, written, text)
+    for bad, text in (("prÈparer", "préparer"), ("naÔve", "naïve"), ("prŽparer", "préparer"), ("ŽtŽ", "été"), ("L÷sung", "Lösung"), ("gr÷▀e", "größe"), ("L”sung", "Lösung"), ("掳C", "°C")):
+        assert max(M.likely(bad, model), key=lambda x: x[2])[1] == text, bad
+    for token in ("烫烫烫", "屯屯屯屯", "锟斤拷", "x�y"):
+        assert ("lost", token) in [x[:2] for x in M.likely(token, model)]
+    assert not M.likely("测试台的台账由值班长检查并写明原因", model) and not M.likely("für", model) and not M.likely("plain", model)
+
+
+def test_score_stops_early():
+    model = _model()
+    for text in ("für", "测试台的台账", "", "a"):
+        assert abs(model.score(text) - model.score(text, -1e9)) < 1e-9
+    assert model.score("ţţţţţţţţ", -10.0) < -10.0 and model.score("ţţţţţţţţ", -10.0) >= model.score("ţţţţţţţţ")
+
+
+def test_pools_and_kinds(spark):
+    """A garbled source tells about its weak tokens; the same token elsewhere may be correct. A pool with most of the rows gives the same."""
+    rows = [(i, "s0", "doc", "Die PrÃ¼fung lÃ¤uft Ã¼ber Nacht") for i in range(30)] + [(i, f"s{i % 7 + 1}", "DOC", "Die Prüfung läuft über Nacht") for i in range(30, 400)]
+    df = spark.createDataFrame(rows, "chunk_id long, source string, doc_type string, text string")
+    states = spark.createDataFrame([("s0", "garbled")], "rel_path string, status string")
+    assert {r.chunk_id for r in M.garbled_rows(df, states).collect()} == set(range(30))

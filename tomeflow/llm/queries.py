@@ -20,11 +20,11 @@ def p1_masked(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
-    return mojibake.garbled_rows(table(spark, folder, "chunk", "chunk_id", "source", "text"), table(spark, folder, "pipeline_state", "rel_path", "status"))
+    return mojibake.garbled_rows(table(spark, folder, "chunk", "chunk_id", "source", "doc_type", "text"), table(spark, folder, "pipeline_state", "rel_path", "status"))
 
 
 def p2_repaired(spark: SparkSession, folder: str) -> DataFrame:
-    return mojibake.repaired(table(spark, folder, "chunk", "chunk_id", "source", "text"), table(spark, folder, "pipeline_state", "rel_path", "status"))
+    return mojibake.repaired(table(spark, folder, "chunk", "chunk_id", "source", "doc_type", "text"), table(spark, folder, "pipeline_state", "rel_path", "status"))
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
