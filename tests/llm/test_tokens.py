@@ -55,9 +55,12 @@ def test_budget(spark):
     rows = budget.budget_rows(chunks, files, spaces)
     got = {r.chunk_id: (r.doc_type, r.lang, r.domain, r.n_tokens, r.current) for r in rows.collect()}
     assert got == {1: ("doc", "en", "operations", 2, False), 2: ("doc", "en", "operations", 2, True), 3: ("unknown", "unknown", "unknown", 1, True), 4: ("unknown", "unknown", "unknown", 0, True), 5: ("doc", "fr", "operations", 1, True)}
-    total = budget.token_budget(rows).agg({"n_tokens": "sum", "current_tokens": "sum", "n_chunks": "sum"}).first()
+    totals = budget.budget_totals(chunks, files, spaces)
+    whole = rows.groupBy("source", "doc_type", "lang", "domain").agg({"n_tokens": "sum", "chunk_id": "count"})
+    assert sorted(map(tuple, whole.select("source", "doc_type", "lang", "domain", "count(chunk_id)", "sum(n_tokens)").collect())) == sorted(tuple(r)[:6] for r in budget.token_budget(totals).collect())
+    total = budget.token_budget(totals).agg({"n_tokens": "sum", "current_tokens": "sum", "n_chunks": "sum"}).first()
     assert (total["sum(n_tokens)"], total["sum(current_tokens)"], total["sum(n_chunks)"]) == (6, 4, 5)
-    by = {(r.by, r.slice): r.n_tokens for r in budget.slices(rows).collect()}
+    by = {(r.by, r.slice): r.n_tokens for r in budget.slices(totals).collect()}
     assert by["lang", "en"] == 4 and by["domain", "operations"] == 5
 
 

@@ -21,40 +21,59 @@ def _language(lang: Column) -> Column:
     return F.when(~short.isin("", "und", "mul", "zxx"), short)
 
 
-def budget_rows(chunks: DataFrame, files: DataFrame, spaces: DataFrame, vocabulary: str | None = None) -> DataFrame:
-    """One row a chunk: its tokens, slice and whether it is the last one stored under its key (``current``).
-
-    The language is that of the file version the chunk came from; where it is not known, that of any version of
-    the file if all agree, else "unknown". The domain is that of the first folder of the source. Null and empty
-    texts have no tokens. ``chunk_id`` must identify a row; null keys are keys like others.
-    """
+def _counted(chunks: DataFrame, vocabulary: str | None) -> DataFrame:
+    """One row a chunk: its tokens, place and whether it is the last one stored under its key."""
     counts = tokens.token_counts(chunks, "chunk_id", "text", vocabulary)
     latest = chunks.groupBy("source", "file_hash", "chunk_index").agg(F.max(F.struct("ingested_at", "chunk_id")).alias("m")).select(F.col("m.chunk_id").alias("chunk_id"), F.lit(True).alias("current"))
-    slim = chunks.select("chunk_id", "source", "file_hash", F.coalesce(F.lower(F.trim("doc_type")), F.lit(UNKNOWN)).alias("doc_type"), _stem(F.col("source")).alias("stem"))
+    slim = chunks.select("chunk_id", "source", "file_hash", F.coalesce(F.lower(F.trim("doc_type")), F.lit(UNKNOWN)).alias("doc_type"))
+    rows = slim.join(counts, "chunk_id").join(latest, "chunk_id", "left")
+    return rows.withColumn("current", F.coalesce("current", F.lit(False)))
+
+
+def _placed(rows: DataFrame, files: DataFrame, spaces: DataFrame) -> DataFrame:
+    """Rows (source, file_hash, ...) with the language and domain of their file."""
+    rows = rows.withColumn("stem", _stem(F.col("source")))
     known = files.select(_stem(F.col("rel_path")).alias("stem"), F.col("sha256").alias("file_hash"), _language(F.col("lang")).alias("lang")).where("lang is not null")
     version = known.groupBy("stem", "file_hash").agg(F.min("lang").alias("own"))
     one = F.when(F.countDistinct("lang") == 1, F.min("lang")).alias("shared")
     file = known.groupBy("stem").agg(one)
-    space = spaces.select("space", "domain")
-    rows = slim.join(counts, "chunk_id").join(latest, "chunk_id", "left")
     rows = rows.join(version, ["stem", "file_hash"], "left").join(file, "stem", "left")
-    rows = rows.withColumn("space", F.split_part("stem", F.lit("/"), F.lit(1))).join(space, "space", "left")
-    return rows.select(
-        "chunk_id", F.coalesce("source", F.lit(UNKNOWN)).alias("source"), "doc_type", F.coalesce("own", "shared", F.lit(UNKNOWN)).alias("lang"),
-        F.coalesce("domain", F.lit(UNKNOWN)).alias("domain"), "n_tokens", F.coalesce("current", F.lit(False)).alias("current"),
-    )
+    rows = rows.withColumn("space", F.split_part("stem", F.lit("/"), F.lit(1))).join(spaces.select("space", "domain"), "space", "left")
+    rows = rows.withColumns({"source": F.coalesce("source", F.lit(UNKNOWN)), "lang": F.coalesce("own", "shared", F.lit(UNKNOWN)), "domain": F.coalesce("domain", F.lit(UNKNOWN))})
+    return rows.drop("stem", "file_hash", "space", "own", "shared")
+
+
+def budget_rows(chunks: DataFrame, files: DataFrame, spaces: DataFrame, vocabulary: str | None = None) -> DataFrame:
+    """One row a chunk: its tokens, slice and whether it is the last one stored under its key (``current``).
+
+    The language is that of the file version the chunk came from; where it is not known, that of any version of
+    the file if all agree, else "unknown". The domain is that of the first folder of the source. Null and empty
+    texts have no tokens. ``chunk_id`` must identify a row; null keys are keys like others.
+    """
+    return _placed(_counted(chunks, vocabulary), files, spaces).select("chunk_id", "source", "doc_type", "lang", "domain", "n_tokens", "current")
+
+
+_SUMS = ("n_chunks", "n_tokens", "n_current", "current_tokens")
+
+
+def _summed(rows: DataFrame, *by: str) -> DataFrame:
+    return rows.groupBy(*by).agg(*[F.sum(c).alias(c) for c in _SUMS])
+
+
+def budget_totals(chunks: DataFrame, files: DataFrame, spaces: DataFrame, vocabulary: str | None = None) -> DataFrame:
+    """Totals of all rows, and of only the current ones, by file version: what ``budget_rows`` says, summed up before files are
+    joined, so that a file with a third of all chunks is one row of the joins."""
+    rows = _counted(chunks, vocabulary)
+    rows = rows.withColumns({"n_chunks": F.lit(1).cast("long"), "n_current": F.col("current").cast("long"), "current_tokens": F.when(F.col("current"), F.col("n_tokens")).otherwise(0)})
+    return _placed(_summed(rows, "source", "file_hash", "doc_type"), files, spaces)
 
 
-def token_budget(rows: DataFrame) -> DataFrame:
+def token_budget(totals: DataFrame) -> DataFrame:
     """Totals of each slice: all rows, and only the current ones, so that what is stored again counts once."""
-    now = F.when(F.col("current"), F.col("n_tokens")).otherwise(0)
-    return rows.groupBy("source", "doc_type", "lang", "domain").agg(
-        F.count("*").alias("n_chunks"), F.sum("n_tokens").alias("n_tokens"), F.sum(F.col("current").cast("long")).alias("n_current"), F.sum(now).alias("current_tokens")
-    )
+    return _summed(totals, "source", "doc_type", "lang", "domain")
 
 
-def slices(rows: DataFrame) -> DataFrame:
+def slices(totals: DataFrame) -> DataFrame:
     """The totals of each source, doc_type, language and domain by itself."""
-    now = F.when(F.col("current"), F.col("n_tokens")).otherwise(0)
-    each = rows.select(F.inline(F.array(*[F.struct(F.lit(k).alias("by"), F.col(k).alias("slice")) for k in ("source", "doc_type", "lang", "domain")])), "n_tokens", "current")
-    return each.groupBy("by", "slice").agg(F.count("*").alias("n_chunks"), F.sum("n_tokens").alias("n_tokens"), F.sum(now).alias("current_tokens"))
+    each = totals.select(F.inline(F.array(*[F.struct(F.lit(k).alias("by"), F.col(k).alias("slice")) for k in ("source", "doc_type", "lang", "domain")])), *_SUMS)
+    return _summed(each, "by", "slice").drop("n_current")

@@ -45,7 +45,7 @@ _CHUNK = ("chunk_id", "source", "file_hash", "chunk_index", "doc_type", "text",
 
 
 def _budget(spark: SparkSession, folder: str) -> DataFrame:
-    return budget.budget_rows(table(spark, folder, "chunk", *_CHUNK), table(spark, folder, "source_file", "rel_path", "sha256", "lang"), table(spark, folder, "kb_space", "space", "domain"))
+    return budget.budget_totals(table(spark, folder, "chunk", *_CHUNK), table(spark, folder, "source_file", "rel_path", "sha256", "lang"), table(spark, folder, "kb_space", "space", "domain"))
 
 
 def p4_budget(spark: SparkSession, folder: str) -> DataFrame:
