@@ -45,6 +45,15 @@ def test_pieces():
     assert S.Boundaries("", "sql").pieces(0) == [(0, 0)]
 
 
+def test_no_slivers():
+    """A lone unit behind the start doesn't win over good lines near the limit, but does over a broken line."""
+    lines = "a line of some words that goes on to the end\n" * 100
+    for text, kind, overlap in ((lines[:302] + "\n\n" + lines, "doc", 300), ("a: 1\nb:\n  " + lines.replace("\n", "\n  "), "yaml", 0)):
+        got = S.Boundaries(text, kind).pieces(overlap)
+        assert all(600 < b - a <= 1200 for a, b in got[:-1]) and all(text[b - 1] == "\n" for _, b in got[:-1]), kind
+    assert S.Boundaries("a: 1\nb: " + "x" * 3000, "yaml").pieces(0)[0] == (0, 5)
+
+
 def test_frames(spark):
     big = json.dumps({f"key{i}": "v" * 300 for i in range(8)})
     rows = [(1, "a.json", "h", 0, None, big, 1), (2, "a.json", "h", 1, None, "small", 1), (3, "a.json", "h", 0, "JSON", big, 2), (4, "b.md", "h", 0, "doc", None, 1), (5, None, None, None, None, "", None), (6, "a.json", "h", 2, "json", big, 1)]

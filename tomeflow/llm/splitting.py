@@ -149,18 +149,28 @@ class Boundaries:
 
     def strongest(self, low: int, high: int) -> int:
         """The strongest boundary in (low, high], the rightmost among equals; ``high`` itself if there is none."""
+        return self._strongest(low, high)[1]
+
+    def _strongest(self, low: int, high: int) -> tuple[int, int]:
+        """Strength and position of the strongest boundary in (low, high]; strength 0 at ``high`` if there is none."""
         a, b = bisect_right(self.at, low), bisect_right(self.at, high)
         if a >= b:
-            return high
+            return 0, high
         level = (b - a).bit_length() - 1
         best = max(self.table[level][a], self.table[level][b - (1 << level)])
-        return int(best % (self.size + 1))
+        return divmod(int(best), self.size + 1)
 
     def pieces(self, overlap: int) -> list[tuple[int, int]]:
-        """Start and end of each piece: none longer than the limit, together the whole text."""
+        """Start and end of each piece: none longer than the limit, together the whole text.
+
+        Cuts are looked for in the second half of the limit, so that no piece is little else than its overlap; nearer
+        to the start only where a line would have to be broken otherwise.
+        """
         out, start = [], 0
         while self.size - start > self.limit:
-            cut = self.strongest(start + overlap, start + self.limit)
+            strength, cut = self._strongest(start + max(overlap, self.limit // 2), start + self.limit)
+            if strength < LINE:
+                cut = max((strength, cut), self._strongest(start + overlap, start + self.limit))[1]
             out.append((start, cut))
             start = cut - overlap
         return [*out, (start, self.size)]
