@@ -41,7 +41,7 @@ MULTI_PAIRS = (("cp1252", "gb18030"), ("cp1252", "cp950"), ("cp1252", "cp932"),
 PRIOR_GARBLED, PRIOR_IF_RECORDED, POOLED = 0.02, 0.2, 3.0
 ROUNDS = 3
 #: Parts that the rows of a pool are spread over.
-PARTS = 16
+PARTS = 8
 #: The posterior from which on a token counts as garbled.
 SURE = 0.7
 #: A chain whose log-likelihood is so far below that of the text as it stands, or of another chain, is out of the question: the
@@ -53,7 +53,7 @@ GONE = -16.0
 #: White space is that of ASCII, for Spark and for Python alike.
 _SPACED = r"[^\t-\r ]+"
 _TOKEN = re.compile(r"(?<![^\t-\r ])[\x00-\x08\x0e-\x1f!-\x7f]*[^\x00-\x7f][^\t-\r ]*")
-_UTF8 = re.compile("[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}")
+_UTF8 = re.compile("(?:[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2})+")
 _DOUBLE = re.compile("(?:[\xa1-\xfe][\xa1-\xfe]){2,}|(?<![\\w\xa1-\xfe])[\xa1-\xa9][\xa1-\xfe](?![\\w\xa1-\xfe])")
 _HIGH = re.compile("[\x80-￿]+")
 _BEYOND = re.compile(r"[^\x00-\x7F]+")
@@ -446,6 +446,23 @@ def _scored(tokens: DataFrame, model: Model) -> DataFrame:
     return tokens.select("h", score.asNondeterministic()("token").alias("chains")).where(F.size("chains") > 1)
 
 
+def _rescored(scored: DataFrame, model: Model) -> DataFrame:
+    """(h, chains) with the log-likelihoods of another model; the originals stay as they are."""
+    sent, held = scored.sparkSession.sparkContext.broadcast(dict(model.counts)), []
+
+    @F.pandas_udf(_CHAINS)
+    def score(col: pd.Series) -> pd.Series:
+        if not held:
+            held.append(Model(sent.value))
+        out = []
+        for chains in col:
+            rows = [{"chain": x["chain"], "text": x["text"], "log": held[0].score(x["text"])} for x in chains]
+            out.append([x | {"log": rows[0]["log"] + 30.0} if x["chain"] == "lost" else x for x in rows])
+        return pd.Series(out, dtype=object)
+
+    return scored.select("h", score("chains").alias("chains"))
+
+
 def _expected(rows: DataFrame, share: dict[str, float]) -> DataFrame:
     """Adds ``p`` to each chain: its posterior, from the likelihoods and the weights of the pool."""
     names = F.create_map(*[x for k, v in share.items() for x in (F.lit(k), F.lit(float(v)))])
@@ -465,7 +482,8 @@ def _expected(rows: DataFrame, share: dict[str, float]) -> DataFrame:
 def _by_pool(rows: DataFrame, weights: DataFrame) -> DataFrame:
     """Rows (pool, h, ...) with the weights of their pool. A pool may hold a third of all rows: its rows are spread, and its weights sent along with each part."""
     spread = weights.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
-    return rows.withColumn("part", F.pmod(F.xxhash64("h"), F.lit(PARTS)).cast("int")).join(spread, ["pool", "part"]).drop("part")
+    # the plan can't tell how large maps are that are repeated: they aren't to be broadcast
+    return rows.withColumn("part", F.pmod(F.xxhash64("h"), F.lit(PARTS)).cast("int")).join(spread.hint("merge"), ["pool", "part"]).drop("part")
 
 
 def garbled_tokens(chunks: DataFrame, states: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -494,10 +512,9 @@ def garbled_tokens(chunks: DataFrame, states: DataFrame) -> tuple[DataFrame, Dat
     for turn in range(ROUNDS):
         weights = sizes.withColumn("mass", F.lit(None).cast("map<string,double>")) if masses is None else sizes.join(masses, "pool", "left")
         weights = weights.withColumn("size", F.lit(0.0) if masses is None else F.col("size"))
-        posterior = _expected(_by_pool(likelihoods, weights), share).select("pool", "h", "n", "chains")
+        posterior = stored(_expected(_by_pool(likelihoods, weights), share).select("pool", "h", "n", "chains"), f"posterior-{turn}")
         if turn == ROUNDS - 1:
             break
-        posterior = stored(posterior, f"posterior-{turn}")
         each = posterior.select("pool", "h", "n", F.inline("chains"))
         mass = stored(each.where("chain <> ''").groupBy("pool", "chain").agg(F.sum(F.col("n") * F.col("p")).alias("mass")), f"mass-{turn}")
         of_chain = {r.chain: r.mass for r in mass.groupBy("chain").agg(F.sum("mass").alias("mass")).toLocalIterator()}
@@ -516,7 +533,7 @@ def garbled_tokens(chunks: DataFrame, states: DataFrame) -> tuple[DataFrame, Dat
             change = moved.select(F.col("was").alias("token"), (-F.col("n")).alias("n")).unionByName(moved.where("chain <> 'lost'").select(F.col("text").alias("token"), "n"))
             for k, v in counts_of(change).items():
                 counts[k] = max(0.0, counts.get(k, 0.0) + v)
-            scored = stored(_scored(tokens, Model(counts)), "scored-1")
+            scored = stored(_rescored(scored, Model(counts)), "scored-1")
             likelihoods = slim()
     p_of = lambda name: F.aggregate(F.filter("chains", lambda x: x["chain"] == name), F.lit(0.0), lambda a, x: a + x["p"])
     best = F.array_max(F.transform("chains", lambda x: F.struct(F.when(x["chain"] == "lost", 0.0).otherwise(x["p"]).alias("p"), x["chain"].alias("chain"))))["chain"]
