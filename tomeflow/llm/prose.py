@@ -25,7 +25,8 @@ _END = re.compile(r"[.!?…。！？]+[\"'”’»)\]」』）]*(?=\s|$|[^\s\w])
 _WORD = re.compile(r"[^\W\d_]+(?:[’'\-][^\W\d_]+)*")
 _HAN = re.compile(r"[一-鿿]+")
 _DIGIT = re.compile(r"\d")
-_TREE = re.compile(r"\s*[│├└─┌┬╰]")
+_TREE = frozenset("│├└─┌┬╰")
+_RULED = frozenset("|:-=_*+~#<>.")
 #: A line that begins with a letter, ends a sentence and holds no sign of code, table or list.
 _SENTENCE_LINE = re.compile(r"[^\W\d_](?![.)、）])[^|\t{}\[\]=;_<>\\/@#$*`]*[.!?。！？]\s*")
 
@@ -49,8 +50,12 @@ class Words:
         return best if found and found[best] else "und"
 
 
-def _solid(text: str) -> int:
-    return sum(map(len, text.split()))
+def _solid(text: str, blanks: Iterable[str]) -> int:
+    """Characters of a text that are none of its blank ones."""
+    n = len(text)
+    for c in blanks:
+        n -= text.count(c)
+    return n
 
 
 def _kind_of_line(line: str) -> str:
@@ -59,9 +64,10 @@ def _kind_of_line(line: str) -> str:
         return ""
     if _MARK.match(line):
         return "entries"
-    if _TREE.match(line):
+    first = line.lstrip()[:1]
+    if first in _TREE:
         return "code"
-    if _RULE.fullmatch(line) or line.count("|") >= 2:
+    if first in _RULED and _RULE.fullmatch(line) or line.count("|") >= 2:
         return "rows"
     if ("  " in line or "\t" in line) and len(cells := _GAPS.split(line.strip())) >= 3 and sum(len(c.split()) for c in cells) <= 4 * len(cells) and len(line) <= 40 * len(cells):
         return "rows"
@@ -82,12 +88,12 @@ def _sentences(text: str) -> Iterable[tuple[str, bool]]:
         yield text[at:], False
 
 
-def _is_prose(sentence: str, ended: bool, words: Words) -> bool:
+def _is_prose(sentence: str, ended: bool, words: Words, solid: int) -> bool:
     han = 0 if sentence.isascii() else sum(map(len, _HAN.findall(sentence)))
-    if han and han * 2 > _solid(sentence) * 0.6:
+    if han and han * 2 > solid * 0.6:
         commas = sentence.count(",") + sentence.count("、")
         return han >= 5 and (ended or han >= 12 and "，" in sentence) and commas * 8 < han and (len(words.han.findall(sentence)) * 30 >= han or "，" in sentence)
-    if not ended and len(_DIGIT.findall(sentence)) * 6 > _solid(sentence):
+    if not ended and len(_DIGIT.findall(sentence)) * 6 > solid:
         return False
     tokens = _WORD.findall(sentence.casefold())
     if len(tokens) < 4:
@@ -97,24 +103,24 @@ def _is_prose(sentence: str, ended: bool, words: Words) -> bool:
     return hits * 9 >= len(tokens) and commas * 3 <= len(tokens) + 3 and (ended or len(tokens) >= 6 and hits * 5 >= len(tokens))
 
 
-def _sentence_chars(lines: list[str], words: Words) -> tuple[int, int]:
+def _sentence_chars(lines: list[str], words: Words, blanks: Iterable[str]) -> tuple[int, int]:
     """Non-blank characters of plain lines that form no sentences, and that do."""
     loose = prose = 0
     for s, ended in _sentences("\n".join(lines)):
-        n = _solid(s)
+        n = _solid(s, blanks)
         # entries before the sentence on lines of their own are not part of it
         head, _, tail = s.rpartition("\n") if ended and "\n" in s.strip() else ("", "", s)
-        if _is_prose(s, ended, words):
+        if _is_prose(s, ended, words, n):
             prose += n
-        elif head and _is_prose(tail, ended, words):
-            prose += _solid(tail)
-            loose += _solid(head)
+        elif head and _is_prose(tail, ended, words, m := _solid(tail, blanks)):
+            prose += m
+            loose += n - m
         else:
             loose += n
     return loose, prose
 
 
-def _groups(text: str) -> tuple[list[list[str]], int]:
+def _groups(text: str, blanks: Iterable[str]) -> tuple[list[list[str]], int]:
     """The groups of lines between blank ones, and the non-blank characters of fenced code."""
     fenced, fence, groups = 0, "", [[]]
     lines = text.replace("\r\n", "\n").replace("\r", "\n").split("\n")
@@ -126,7 +132,7 @@ def _groups(text: str) -> tuple[list[list[str]], int]:
             # a fence that nothing closes is none
             m = _FENCE.match(line) if marks[i] and (fence or closing[marks[i][0]] > i) else None
             if fence or m:
-                fenced += _solid(line)
+                fenced += _solid(line, blanks)
                 if not fence:
                     fence = m[1]
                 elif m and m[1][0] == fence[0] and len(m[1]) >= len(fence):
@@ -146,7 +152,9 @@ KINDS = ("entries", "rows", "code", "loose", "prose")
 
 def chars_by_kind(text: str, words: Words) -> dict[str, int]:
     """Non-blank characters of a text in entries of lists, rows of tables or records, code, words that form no sentences, and prose. Headings count as none of them."""
-    groups, fenced = _groups(text)
+    blanks = [c for c in set(text) if c.isspace()]
+    groups, fenced = _groups(text, blanks)
+    size = lambda group: sum([_solid(x, blanks) for x in group])
     out = dict.fromkeys(KINDS, 0)
     out["code"] = fenced
     for group in groups:
@@ -154,13 +162,14 @@ def chars_by_kind(text: str, words: Words) -> dict[str, int]:
             continue
         kinds = [None if "#" in x and _HEADING.match(x) else _kind_of_line(x.lstrip("> ") if x.lstrip().startswith(">") else x) for x in group]
         # records of one shape: comma-separated lines with the same number of cells
-        top, n = Counter([x.count(",") for x in group]).most_common(1)[0] if len(group) >= 2 else (0, 0)
+        commas = [x.count(",") for x in group]
+        top, n = Counter(commas).most_common(1)[0] if len(group) >= 2 and any(commas) else (0, 0)
         if top >= 1 and n * 10 >= len(group) * 9 and sum(len(c.split()) for x in group for c in x.split(",")) <= 3.2 * len(group) * (top + 1):
-            out["rows"] += sum(map(_solid, group))
+            out["rows"] += size(group)
             continue
         known = [x for x in kinds if x is not None]
         if len(known) > 1 and sum(map(bool, known)) * 10 >= len(known) * 4 and sum(bool(_CODE.match(x) or _CODE_END.search(x) or _PAIR.match(x)) for x in group) * 2 >= len(group):
-            out["code"] += sum(map(_solid, group))
+            out["code"] += size(group)
             continue
         plain: list[str] = []
         for line, kind in zip([*group, ""], [*kinds, "end"], strict=True):
@@ -170,10 +179,10 @@ def chars_by_kind(text: str, words: Words) -> dict[str, int]:
                 plain.append(line.lstrip("> "))
                 continue
             if plain:
-                loose, prose = _sentence_chars(plain, words)
+                loose, prose = _sentence_chars(plain, words, blanks)
                 out["loose"] += loose
                 out["prose"] += prose
                 plain = []
             if kind != "end":
-                out[kind] += _solid(line)
+                out[kind] += _solid(line, blanks)
     return out

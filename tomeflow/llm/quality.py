@@ -33,6 +33,8 @@ SIDES = {
 _FIELDS = "lang string, n_words long, " + ", ".join(f"{k} double" for k in SIDES)
 #: Tail probabilities of a text: of each statistic within its language, and among all texts.
 TAILS = (*SIDES, *(f"{k}_of_all" for k in SIDES))
+#: Stands for the texts of all languages.
+ALL = "*"
 #: Labels that the weights are learned from at most.
 LABELS = 2000
 #: What the weights are before any label is seen (all alike: the score of texts that are as surprising as the average
@@ -102,17 +104,15 @@ def tails(stats: DataFrame, key: str = "doc_id") -> DataFrame:
     values = F.array(*[F.struct(F.lit(k).alias("stat"), F.round(F.col(k), 4).alias("value")) for k in SIDES])
     long = stats.where("lang is not null").select(key, "lang", F.inline(values))
     counts = stored(long.groupBy("lang", "stat", "value").agg(F.count("*").alias("n")), "values")
-
-    def surprise(counted: DataFrame, group: list[str], out: str) -> DataFrame:
-        ranked = running_total(counted, group, ["value"], "n", "through")
-        sizes = ranked.groupBy(*group).agg(F.max("through").alias("size"))  # a row a language and statistic
-        up = F.array(*[F.lit(k) for k, side in SIDES.items() if side > 0])
-        tail = F.when(F.array_contains(up, F.col("stat")), (F.col("size") - F.col("through") + F.col("n")) / F.col("size")).otherwise(F.col("through") / F.col("size"))
-        return ranked.join(sizes, group).select(*group, "value", (-F.log(tail)).alias(out))
-
-    own = surprise(counts, ["lang", "stat"], "own")
-    of_all = surprise(counts.groupBy("stat", "value").agg(F.sum("n").alias("n")), ["stat"], "of_all")
-    both = own.join(of_all, ["stat", "value"])
+    # the texts of all languages are ranked as one more group
+    everywhere = counts.groupBy("stat", "value").agg(F.sum("n").alias("n")).select(F.lit(ALL).alias("lang"), "stat", "value", "n")
+    ranked = running_total(counts.unionByName(everywhere), ["lang", "stat"], ["value"], "n", "through")
+    sizes = ranked.groupBy("lang", "stat").agg(F.max("through").alias("size"))  # a row a language and statistic
+    up = F.array(*[F.lit(k) for k, side in SIDES.items() if side > 0])
+    tail = F.when(F.array_contains(up, F.col("stat")), (F.col("size") - F.col("through") + F.col("n")) / F.col("size")).otherwise(F.col("through") / F.col("size"))
+    surprise = stored(ranked.join(sizes, ["lang", "stat"]).select("lang", "stat", "value", (-F.log(tail)).alias("own")), "surprises")
+    of_all = surprise.where(F.col("lang") == ALL).select("stat", "value", F.col("own").alias("of_all"))
+    both = surprise.where(F.col("lang") != ALL).join(of_all, ["stat", "value"])
     sums = [F.sum(F.when(F.col("stat") == k, F.col(c))).alias(k if c == "own" else f"{k}_of_all") for c in ("own", "of_all") for k in SIDES]
     return long.join(both, ["lang", "stat", "value"]).groupBy(key).agg(*sums)
 
