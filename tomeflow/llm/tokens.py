@@ -19,6 +19,8 @@ from tomeflow.llm import bpe
 
 #: Characters of text in a block. A longer text is a block of its own.
 BLOCK_CHARS = 6_000_000
+#: Pieces a task.
+PIECES = 100_000
 
 _BLOCKS = pa.schema([("block", pa.string()), ("key", pa.int64()), ("codes", pa.list_(pa.int32())), ("piece", pa.string()), ("idx", pa.int32())])
 
@@ -77,8 +79,9 @@ def encoded_pieces(table: DataFrame, vocabulary: str, ids: bool) -> DataFrame:
                 lists.append(tokens)
             yield pa.record_batch([batch.column(1), batch.column(2), pa.array(counts, pa.int32()), pa.array(lists, pa.list_(pa.int32()))], names=["block", "idx", "n", "ids"])
 
+    # a piece that every block holds is a row a block: its rows may span partitions, each of which begins with its own prefixes
     words = table.where("piece is not null").select("piece", "block", "idx")
-    words = words.repartitionByRange(shuffles(table), "piece").sortWithinPartitions("piece")
+    words = words.repartitionByRange(max(shuffles(table), -(-words.count() // PIECES)), "piece", "block").sortWithinPartitions("piece")
     return words.mapInArrow(visit, "block string, idx int, n int, ids array<int>")
 
 
@@ -88,7 +91,8 @@ def shuffles(df: DataFrame) -> int:
 
 
 def _by_block(left: DataFrame, right: DataFrame):  # noqa: ANN202
-    n = shuffles(left)
+    """Both sides by block, about a block a task: the number of tasks grows with the texts."""
+    n = max(shuffles(left), left.select("block").distinct().count())
     return left.repartition(n, "block").groupBy("block").cogroup(right.repartition(n, "block").groupBy("block"))
 
 
