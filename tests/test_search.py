@@ -31,11 +31,22 @@ def test_vector_topk(spark):
     assert search.vector_topk(v, q.limit(0), "id", "q", 5).count() == 0
 
 
+def test_vectors_of_several_lengths_and_blocks(spark, monkeypatch):
+    """Vectors of different lengths have no similarity; blocks of queries give what all at once give."""
+    rng = np.random.default_rng(1)
+    rows = [(i, [float(x) for x in rng.standard_normal(8 if i % 3 else 5)]) for i in range(90)]
+    v = spark.createDataFrame(rows, "id long, vector array<double>")
+    q = v.where("id < 40").withColumnRenamed("id", "q")
+    whole = sorted(map(tuple, search.vector_topk(v, q, "id", "q", 4).collect()))
+    assert len(whole) == 160 and all((a % 3 == 0) == (b % 3 == 0) for a, b, *_ in whole)
+    monkeypatch.setattr(search, "BLOCK", 7)
+    assert sorted(map(tuple, search.vector_topk(v, q, "id", "q", 4).collect())) == whole
+
+
 def _search(spark, threshold=0.1):
     chunks = spark.createDataFrame([(1, "red pump in the hall", "a/x.md", "doc"), (2, "blue valve", "a/y.md", None), (3, None, "b", "SQL"), (4, "red red pump", "c", "doc")], "chunk_id int, text string, source string, doc_type string")
     q = spark.createDataFrame([(10, "red pump", "red pump"), (11, " ", " "), (12, None, None)], "query_id int, question string, expanded string")
-    index = search.postings(chunks, "chunk_id", "text")
-    hits = search.hybrid_hits(q, index, search.dense(search.hashed_vectors(index, "chunk_id"), "chunk_id"), "chunk_id", threshold=threshold)
+    hits = search.hybrid_hits(q, search.build_index(chunks, "chunk_id", "text"), threshold=threshold)
     return search.answers(q, hits, chunks, "chunk_id")
 
 

@@ -34,7 +34,40 @@ def test_marker(spark):
 
 
 def test_final_passes(spark):
-    assert one(spark, "| a | b |\n|  |  |\n\n\n\n<!-- x\ny -->end  ", T.final_passes) == "| a | b |\n\nend"
+    text = "| a | b |\n|  |  |\n\n\n\n<!-- x\ny -->end  "
+    assert one(spark, text, lambda c: clean.final_passes(T.drop_blank_rows(c))) == "| a | b |\n\nend"
+    assert one(spark, "| a | b |\r\n|\u3000|\xa0|\r\nend", T.drop_blank_rows) == "| a | b |\r\n\nend"
+    assert one(spark, None, T.drop_blank_rows) is None
+
+
+def test_tidy_rows():
+    cases = {
+        "no cells": "no cells", "": "", "|": "|", "| |": "", "|\u3000|\xa0|\r": "", " | | |": " |", "| a | b |  |  |": "| a | b |", "|  |  | a | b |": "| a | b |", "|a|": "| a|", "|---|---|": "| ---|---|",
+        "| a |  | b |": "| a |  | b |", "| a |  |  | b |": "| a | | b |", "| a | | | | b |": "| a | | | b |", "| a | | | | | b |": "| a | | | b |", "a | b | |": "a | b |", "| a |  ": "| a |  ", "| a | | b": "| a | | b",
+    }
+    for line, want in cases.items():
+        assert clean.tidy_row(line) == want, line
+
+
+def test_boilerplate_in_spark_and_in_python(spark):
+    """Columns and Python agree, white space of Unicode and line ends of Windows included."""
+    yes = ["# 前 言", "## 目录", "# Contents of it", "版权所有", "© 2024 x", "All  Rights Reserved.", "Confidential", "版 本 ： 2", "版\u3000本号", "修 订 记 录", "作者：x", "第 12 页", "Page  3", "— 4 —", "-5-", "用户手册 v", "文档版本 2", "③ x"]
+    no = ["前言", "# 前沿", "Page", "Page3", "第 页", "— x —", "© x", "文档版本", "版本", "text", "", "--", "Pages 3"]
+    lines = [f"{a}{x}{b}" for x in yes + no for a, b in (("", ""), ("\u3000 ", "\r"))]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, line string")
+    got = [r[0] for r in df.orderBy("i").select(T.is_boilerplate(F.col("line"))).collect()]
+    assert got == [clean.boilerplate(x.strip()) for x in lines] == [x.strip() in [y.strip() for y in yes] for x in lines]
+
+
+def test_contents():
+    for line in ("目录", "# 目 录", "## 目　录", "# 録", "Contents", "# Contents"):
+        assert clean.opens_contents(line), line
+    for line in ("记录", "# 记录", "the Contents", "# 目录外" * 0 + "# 附录"):
+        assert not clean.opens_contents(line), line
+    for line in ("", "....", "… ·", "1.2 概要 …… 12", "1 概要12x . 3", "1. 概要", "三、维护", "12．x"):
+        assert clean.in_contents(line), line
+    for line in ("text", "1.2 概要", "1. two words", "1. " + "x" * 41, "1.", "概要 … 3", "1..2 概要 . 3", "1.2. 概要 . 3"):
+        assert not clean.in_contents(line), line
 
 
 def test_clean(spark):

@@ -20,9 +20,7 @@ def ask(pipeline: Pipeline, questions: DataFrame) -> DataFrame:
     """Answers to (query_id, question) from the current snapshot."""
     s = pipeline.settings
     expanded = glossary.expand(questions, load_glossary(pipeline.spark, s.glossary_path))
-    index = pipeline.base.table("postings", "chunk_id long, term string, tf long")
-    vectors = search.dense(search.hashed_vectors(index, "chunk_id"), "chunk_id")
-    hits = search.hybrid_hits(expanded, index, vectors, "chunk_id", s.top_k, s.threshold)
+    hits = search.hybrid_hits(expanded, pipeline.base.index(), s.top_k, s.threshold, pipeline.base.embed)
     return search.answers(expanded, hits, pipeline.base.table("chunks"), "chunk_id")
 
 

@@ -88,6 +88,8 @@ def grouped(pieces: list[str], size: int = SIZE) -> list[str]:
 
 def prose(text: str, size: int = SIZE, overlap: int = OVERLAP) -> list[str]:
     """Chunks of at most ``size`` characters, cut at the best place in their second half, each beginning up to ``overlap`` before the last one's end."""
+    if not 0 <= overlap < size:
+        raise ValueError("the overlap must be smaller than the size")
     out, start = [], 0
     while len(text) - start > size:
         low = start + max(overlap + 1, size // 2)

@@ -32,6 +32,14 @@ def latest(states: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     return rows.select(*[F.col(c) if c in key else F.col(f"_m.{c}") if c in order else F.col(f"_m._rest.{c}") for c in states.columns])
 
 
+def first_wins(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
+    """One row a key, the first by ``order``, and ``n``, how many rows had it. Null keys are keys like others; nulls come first."""
+    rest = [c for c in rows.columns if c not in (*key, *order)]
+    first = F.min(F.struct(*order, F.struct(*rest).alias("_rest")) if rest else F.struct(*order)).alias("_m")
+    found = rows.groupBy(*key).agg(first, F.count("*").alias("n"))
+    return found.select(*[F.col(c) if c in key else F.col(f"_m.{c}") if c in order else F.col(f"_m._rest.{c}") for c in rows.columns], "n")
+
+
 def plan(files: DataFrame, states: DataFrame) -> DataFrame:
     """(rel_path, sha256, action, reason) of every scanned file against the state.
 

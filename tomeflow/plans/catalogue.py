@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tomeflow.functions import text as T
-from tomeflow.functions.durable import stored
 from tomeflow.operators import chunking, clean, glossary, search, state, store
+from tomeflow.sources.files import decoded
 from tomeflow.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,11 @@ def format_dispatch(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "source_file", "rel_path", "sha256").select("rel_path", "sha256", ext.alias("extension"), F.when(known, T.doc_type(ext)).otherwise("skip").alias("reads_as"))
 
 
+@_query("SELECT rel_path, sha256, strftime(mtime AT TIME ZONE 'UTC', CASE WHEN microsecond(mtime) % 1000000 = 0 THEN '%Y-%m-%dT%H:%M:%S' ELSE '%Y-%m-%dT%H:%M:%S.%f' END) || '+00:00' AS mtime FROM source_file")
+def iso_times(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "source_file", "rel_path", "sha256", "mtime").withColumn("mtime", T.iso_utc("mtime"))
+
+
 _PUNCT = "[" + T.CJK_PUNCTUATION + "]"
 _HEAD = f"substr(text, 1, {T.HEAD})"
 _WS = r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
@@ -95,10 +100,24 @@ def collapse_newlines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _LINES = "(SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM documents)"
-_UTRIM = f"regexp_replace(line, '^{_WS}+|{_WS}+$', '', 'g')"
 
 
-@_query(f"SELECT doc_id, line_no::INT AS line_no FROM {_LINES} WHERE " + " OR ".join(f"regexp_matches({_UTRIM}, '{p}')" for p in T.BOILERPLATE))
+def _trim(x: str) -> str:
+    return f"regexp_replace({x}, '^{_WS}+|{_WS}+$', '', 'g')"
+
+
+def _or(form: str, values: tuple[str, ...]) -> str:
+    return "(" + " OR ".join(form.format(v) for v in values) + ")"
+
+
+_COVER = f"""SELECT doc_id, line_no::INT AS line_no FROM (SELECT doc_id, line_no, bare, regexp_replace(bare, '{_WS}+', '', 'g') AS packed, regexp_replace(lower(bare), '{_WS}+', ' ', 'g') AS low
+FROM (SELECT doc_id, line_no, {_trim("line")} AS bare FROM {_LINES})) WHERE starts_with(packed, '#') AND {_or("starts_with(ltrim(packed, '#'), '{}')", (*T.BOILERPLATE_HEADINGS, *T.SPACED_HEADINGS))}
+OR {_or("contains(bare, '{}')", T.BOILERPLATE_WORDS)} OR {_or("contains(packed, '{}')", T.SPACED_WORDS)} OR {_or("starts_with(bare, '{}')", T.BOILERPLATE_STARTS)}
+OR regexp_full_match(packed, '第[0-9]+页|—[0-9]+—|-[0-9]+-') OR regexp_full_match(bare, 'Page{_WS}+[0-9]+') OR contains(low, 'all rights reserved') OR contains(low, 'all right reserved')
+OR regexp_matches(packed, '©[0-9]{{4}}') OR regexp_matches(packed, '^文档版本[0-9]') OR bare <> '' AND contains('{T.CIRCLED}', substr(bare, 1, 1))"""
+
+
+@_query(_COVER)
 def boilerplate_lines(spark: SparkSession, folder: str) -> DataFrame:
     lines = _docs(spark, folder).select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("at", "line"))
     return lines.where(T.is_boilerplate(F.col("line"))).select("doc_id", (F.col("at") + 1).alias("line_no"))
@@ -109,7 +128,7 @@ def size_warning(spark: SparkSession, folder: str) -> DataFrame:
     return _docs(spark, folder).where("text is not null").select("doc_id", F.octet_length("text").alias("bytes"), T.size_warning("text", 20).isNotNull().alias("large"))
 
 
-@_query(r"SELECT doc_id, sha256(regexp_replace(text, '(?m)^\|(?:\s*\|\s*)*\|\s*$', '', 'g')) AS cleaned FROM documents")
+@_query(f"SELECT doc_id, sha256(array_to_string(list_transform(string_split(text, chr(10)), lambda l: CASE WHEN regexp_matches(l, '^\\|(\\||{_WS})*\\|{_WS}*$') THEN '' ELSE l END), chr(10))) AS cleaned FROM documents")
 def blank_pipe_rows(spark: SparkSession, folder: str) -> DataFrame:
     return _docs(spark, folder).select("doc_id", F.sha2(T.drop_blank_rows("text"), 256).alias("cleaned"))
 
@@ -135,30 +154,63 @@ def chunk_documents(spark: SparkSession, folder: str) -> DataFrame:
     return chunking.chunk(docs.select(F.col("rel_path").alias("source"), F.sha2("text", 256).alias("file_hash"), kind.alias("doc_type"), "text"))
 
 
-@_query(r"""SELECT doc_id, (len(h) + CASE WHEN regexp_matches(text, '^[ \t]*\[[^\n]+\][ \t\r]*(\n|$)') THEN 0 WHEN trim(regexp_extract(text, '(?ms)\A(.*?)(^[ \t]*\[[^\n]+\][ \t\r]*$|\z)', 1), ' ' || chr(9) || chr(10) || chr(13)) = '' THEN 0 ELSE 1 END)::INT AS pieces
-FROM (SELECT doc_id, text, regexp_extract_all(text, '(?m)^[ \t]*\[[^\n]+\][ \t\r]*$') AS h FROM documents WHERE lower(doc_type) IN ('ini', 'toml') AND trim(text) <> '')""")
+_PIECES = "SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY g) - 1)::INT AS at, sha256(piece) AS piece FROM pieces"
+_OF = "lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents WHERE lower(doc_type) IN ({}))"
+_JOINED = "pieces AS (SELECT * FROM (SELECT doc_id, g, string_agg(line, chr(10) ORDER BY i) AS piece FROM groups GROUP BY doc_id, g) WHERE " + _trim("piece") + " <> '')"
+
+
+def _pieces(spark: SparkSession, folder: str, kind: str, *kinds: str) -> DataFrame:
+    docs = _docs(spark, folder, "doc_id", "text", "doc_type").where(F.lower("doc_type").isin(*(kinds or (kind,))))
+    return docs.select("doc_id", F.posexplode(chunking.pieces_of("text", kind)).alias("at", "piece")).select("doc_id", "at", F.sha2("piece", 256).alias("piece"))
+
+
+@_query(f"""WITH {_OF.format("'ini', 'toml'")}, groups AS (SELECT *, sum(regexp_full_match(line, '{_WS}*\\[.+\\]{_WS}*')::INT) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM lines), {_JOINED} {_PIECES}""")
 def ini_sections(spark: SparkSession, folder: str) -> DataFrame:
-    docs = _docs(spark, folder, "doc_id", "text", "doc_type").where(F.lower("doc_type").isin("ini", "toml") & (F.trim("text") != ""))
-    return docs.select("doc_id", F.size(chunking.pieces_of("text", "ini")).alias("pieces"))
+    return _pieces(spark, folder, "ini", "ini", "toml")
 
 
-@_query("SELECT doc_id, len(json_keys(text))::INT AS pieces FROM documents WHERE lower(doc_type) = 'json' AND json_valid(text) AND json_type(text) = 'OBJECT' AND len(json_keys(text)) > 0")
-def json_keys(spark: SparkSession, folder: str) -> DataFrame:
-    docs = _docs(spark, folder, "doc_id", "text", "doc_type").where(F.lower("doc_type") == "json")
-    docs = docs.where(F.size(F.json_object_keys("text")) > 0)
-    return docs.select("doc_id", F.size(chunking.pieces_of("text", "json")).alias("pieces"))
+@_query(f"""WITH {_OF.format("'yaml'")}, groups AS (SELECT *, greatest(sum(regexp_matches(line, '^[A-Za-z0-9_.\\-]+{_WS}*:')::INT) OVER (PARTITION BY doc_id ORDER BY i), 1) AS g FROM lines), {_JOINED} {_PIECES}""")
+def yaml_keys(spark: SparkSession, folder: str) -> DataFrame:
+    return _pieces(spark, folder, "yaml")
 
 
-@_query()
+# what hides a semicolon is one token, and so is a run without any sign that matters
+_TOKENS = r"(?s)'(?:[^']|'')*'|--[^\n]*|/\*.*?\*/|[^'\-/;]+|."
+
+
+@_query(f"""WITH toks AS (SELECT doc_id, unnest(t) AS tok, generate_subscripts(t, 1) AS i FROM (SELECT doc_id, regexp_extract_all(text, '{_TOKENS.replace("'", "''")}') AS t FROM documents WHERE lower(doc_type) = 'sql')),
+groups AS (SELECT *, coalesce(sum((tok = ';')::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS g FROM toks),
+pieces AS (SELECT * FROM (SELECT doc_id, g, {_trim("string_agg(tok, '' ORDER BY i)")} AS piece FROM groups GROUP BY doc_id, g) WHERE piece <> '') {_PIECES}""")
 def sql_statements(spark: SparkSession, folder: str) -> DataFrame:
-    docs = _docs(spark, folder, "doc_id", "text", "doc_type").where(F.lower("doc_type") == "sql")
-    return docs.select("doc_id", F.posexplode(chunking.pieces_of("text", "sql")).alias("at", "statement"))
+    return _pieces(spark, folder, "sql")
 
 
-@_query()
-def yaml_keys(spark: SparkSession, folder: str) -> DataFrame:
-    docs = _docs(spark, folder, "doc_id", "text", "doc_type").where(F.lower("doc_type") == "yaml")
-    return docs.select("doc_id", F.posexplode(chunking.pieces_of("text", "yaml")).alias("at", "piece"))
+@_query("""SELECT doc_id, (generate_subscripts(json_keys(text), 1) - 1)::INT AS at, unnest(json_keys(text)) AS key, unnest(list_transform(json_keys(text), lambda k: json_type(json_extract(text, '$."' || k || '"')))) AS kind
+FROM documents WHERE lower(doc_type) = 'json' AND json_valid(text) AND json_type(text) = 'OBJECT'""")
+def json_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """The keys that the pieces hold, one each, and the kinds of their values."""
+    docs = _docs(spark, folder, "doc_id", "text", "doc_type").where((F.lower("doc_type") == "json") & (F.size(F.json_object_keys("text")) > 0))
+    pieces = docs.select("doc_id", F.posexplode(chunking.pieces_of("text", "json")).alias("at", "piece"))
+    key, value = F.json_object_keys("piece")[0], F.regexp_extract("piece", r'(?s)\A\{\s*"(?:[^"\\]|\\.)*":\s*(.)', 1)
+    number = F.when(F.regexp_extract("piece", r'(?s)\A\{\s*"(?:[^"\\]|\\.)*":\s*(-?[0-9.eE+\-]+)', 1).rlike("[.eE]"), "DOUBLE").when(value == "-", "BIGINT").otherwise("UBIGINT")
+    kind = F.when(value == "{", "OBJECT").when(value == "[", "ARRAY").when(value == '"', "VARCHAR").when(value.isin("t", "f"), "BOOLEAN").when(value == "n", "NULL").otherwise(number)
+    return pieces.select("doc_id", "at", key.alias("key"), kind.alias("kind"))
+
+
+@_query("SELECT doc_id, '.' || lower(doc_type) AS marker, sha256(text) AS text FROM documents WHERE lower(doc_type) <> 'doc'")
+def marker_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Code marked as the converter marks it, and taken out of its fence again."""
+    docs = _docs(spark, folder, "doc_id", "text", "doc_type").where(F.lower("doc_type") != "doc")
+    kind = F.lower("doc_type")
+    marked = docs.select("doc_id", F.concat(F.lit("<!-- x:source_ext=."), kind, F.lit(" -->\n```"), kind, F.lit("\n"), "text", F.lit("\n```\n")).alias("marked"), kind.alias("kind"))
+    return marked.select("doc_id", F.coalesce(T.source_marker("marked"), F.concat(F.lit("."), "kind")).alias("marker"), F.sha2(T.strip_marker("marked"), 256).alias("text"))
+
+
+@_query(f"SELECT doc_id, sha256(text) AS decoded, 'utf-8' AS encoding FROM documents WHERE {_trim('text')} <> ''")
+def decoded_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """The bytes of every text that isn't blank, decoded again."""
+    rows = _docs(spark, folder).where(~T.is_blank("text")).select("doc_id", decoded(F.encode("text", "UTF-8")).alias("d"))
+    return rows.select("doc_id", F.sha2("d.text", 256).alias("decoded"), "d.encoding")
 
 
 _KEY = ["source", "file_hash", "chunk_index"]
@@ -204,9 +256,17 @@ def term_statistics(spark: SparkSession, folder: str) -> DataFrame:
     return search.postings(_docs(spark, folder), "doc_id", "text").groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
 
 
-def _questions(spark: SparkSession, folder: str) -> DataFrame:
+@_query(f"""WITH t AS (SELECT chunk_id, unnest({_TERMS.format("text")}) AS term FROM chunk), p AS (SELECT chunk_id, term, count(*) AS tf FROM t GROUP BY ALL)
+SELECT chunk_id, sum(tf)::BIGINT AS length, count(*) AS terms FROM p GROUP BY chunk_id""")
+def index_lengths(spark: SparkSession, folder: str) -> DataFrame:
+    """What the index holds of each text: its length in terms, as every posting has it, and its distinct terms."""
+    index = search.build_index(table(spark, folder, "chunk", "chunk_id", "text"), "chunk_id", "text")
+    return index.postings.groupBy("chunk_id").agg(F.max("dl").alias("length"), F.count("*").alias("terms"))
+
+
+def _questions(spark: SparkSession, folder: str, every: int = ASKED_EVERY) -> DataFrame:
     """The stated query set, each question once, expanded by the glossary."""
-    rows = table(spark, folder, "query_log", "query_id", "question").where(F.col("query_id") % ASKED_EVERY == 0).distinct()
+    rows = table(spark, folder, "query_log", "query_id", "question").where(F.col("query_id") % every == 0).distinct()
     return glossary.expand(rows, table(spark, folder, "glossary"))
 
 
@@ -252,12 +312,15 @@ hits AS (SELECT query_id, chunk_id, rrf, sim, (row_number() OVER (PARTITION BY q
   FROM fused LEFT JOIN near USING (query_id, chunk_id) WHERE sim IS NULL OR sim >= 0.5 QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY rrf DESC, chunk_id) <= 5)"""
 
 
-def _hits(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _hits(spark: SparkSession, folder: str, every: int = ASKED_EVERY) -> tuple[DataFrame, DataFrame, DataFrame]:
     chunks = table(spark, folder, "chunk", "chunk_id", "text", "source", "doc_type")
-    index = stored(search.postings(chunks, "chunk_id", "text"), "postings")
-    questions = _questions(spark, folder)
-    vectors = search.dense(search.hashed_vectors(index, "chunk_id"), "chunk_id")
-    return questions, search.hybrid_hits(questions, index, vectors, "chunk_id"), chunks
+    questions = _questions(spark, folder, every)
+    return questions, search.hybrid_hits(questions, search.build_index(chunks, "chunk_id", "text")), chunks
+
+
+def all_hits(spark: SparkSession, folder: str) -> DataFrame:
+    """The hits of every logged question."""
+    return _hits(spark, folder, 1)[1].select("query_id", "chunk_id", "rrf", "sim", "place", "matched_by")
 
 
 @_query(f"WITH {_HITS} SELECT query_id, chunk_id, rrf, sim, place, matched_by FROM hits")
@@ -281,7 +344,19 @@ def confidence_summary(spark: SparkSession, folder: str) -> DataFrame:
     return search.answers(*_hits(spark, folder), "chunk_id").groupBy("confidence").agg(F.count("*").alias("questions"), F.sum("hits").alias("hits"))
 
 
-@_query()
+_TOLD = f"""{_GRADED}, told AS (SELECT query_id, place, {_trim("c.text")} AS text, regexp_extract(c.source, '([^/\\\\]*)$', 1) AS file_name, c.source, sim, matched_by, coalesce(lower(c.doc_type), 'doc') AS doc_type FROM hits JOIN chunk c USING (chunk_id))"""
+
+
+@_query(f"WITH {_TOLD} SELECT query_id, place, sha256(text) AS text, file_name, source, sim, matched_by, doc_type FROM told")
+def hybrid_results(spark: SparkSession, folder: str) -> DataFrame:
+    """The results of the answers, one row each."""
+    rows = search.answers(*_hits(spark, folder), "chunk_id").select("query_id", F.inline("results"))
+    return rows.withColumn("text", F.sha2("text", 256))
+
+
+@_query(f"""WITH {_TOLD}, blocks AS (SELECT query_id, string_agg('【知识片段 ' || place || '】📄 ' || file_name || ' (相关度: ' || CASE WHEN sim IS NULL THEN '关键词命中' ELSE printf('%.2f%%', sim * 100) END || ')' || chr(10) ||
+  CASE WHEN length(text) > 2000 THEN substr(text, 1, 2000) || '...(截断)' ELSE text END, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY place) AS context FROM told GROUP BY query_id)
+SELECT query_id, CASE WHEN hits = 0 THEN '[知识库检索无结果]' ELSE context END AS context FROM graded LEFT JOIN blocks USING (query_id)""")
 def context_render(spark: SparkSession, folder: str) -> DataFrame:
     return search.as_context(search.answers(*_hits(spark, folder), "chunk_id"))
 
@@ -337,9 +412,42 @@ def state_reset(spark: SparkSession, folder: str) -> DataFrame:
     return again.select("rel_path", state.status("conversion").alias("conversion"), state.status("ingestion").alias("ingestion"))
 
 
-@_query("SELECT query_id, question, min(epoch(asked_at))::BIGINT AS asked_s, count(*) AS n FROM query_log GROUP BY ALL")
+_VERSION = "files AS (SELECT rel_path, unnest(arg_max(v, (mtime, sha256))) FROM (SELECT rel_path, mtime, sha256, {'sha256': sha256, 'size': size} AS v FROM source_file WHERE rel_path IS NOT NULL) GROUP BY rel_path)"
+
+
+def _versions(spark: SparkSession, folder: str) -> DataFrame:
+    """The last version of every file."""
+    return state.latest(table(spark, folder, "source_file", "rel_path", "sha256", "size", "mtime"), ["rel_path"], ["mtime", "sha256"]).withColumn("abs_source_path", F.col("rel_path"))
+
+
+@_query(f"""WITH {_LAST}, {_VERSION} SELECT coalesce(f.rel_path, o.rel_path) AS rel_path, coalesce(f.sha256, o.sha256) AS sha256, CASE WHEN f.rel_path IS NULL OR f.sha256 = o.sha256 THEN cs ELSE 'pending' END AS conversion, CASE WHEN f.rel_path IS NULL OR f.sha256 = o.sha256 THEN ins ELSE 'pending' END AS ingestion
+FROM files f FULL JOIN last_state o ON f.rel_path = o.rel_path""")
+def state_start(spark: SparkSession, folder: str) -> DataFrame:
+    """The state after a scan."""
+    now = state.start(_versions(spark, folder), _states(spark, folder).drop("recorded_at"))
+    return now.select("rel_path", "sha256", state.status("conversion").alias("conversion"), state.status("ingestion").alias("ingestion"))
+
+
+@_query(f"""WITH {_LAST}, {_VERSION} SELECT rel_path, CASE WHEN f.sha256 IS NULL THEN cs WHEN size = 0 THEN 'empty' ELSE 'ok' END AS conversion, ins AS ingestion FROM last_state o LEFT JOIN files f USING (rel_path)""")
+def state_record(spark: SparkSession, folder: str) -> DataFrame:
+    """The state with the results of a conversion, by the sizes of the files."""
+    results = _versions(spark, folder).select("rel_path", F.when(F.col("size") == 0, "empty").otherwise("ok").alias("status"), F.lit(None).cast("string").alias("md_path"), F.lit(None).cast("string").alias("error"))
+    now = state.record(_states(spark, folder).drop("recorded_at"), results, "conversion")
+    return now.select("rel_path", state.status("conversion").alias("conversion"), state.status("ingestion").alias("ingestion"))
+
+
+@_query(f"WITH {_LAST} SELECT rel_path, sha256 FROM last_state WHERE rel_path NOT IN (SELECT rel_path FROM source_file WHERE rel_path IS NOT NULL AND size = 0)")
+def state_remove(spark: SparkSession, folder: str) -> DataFrame:
+    """The state without the files that have an empty version."""
+    gone = table(spark, folder, "source_file", "rel_path", "size").where("size = 0")
+    return state.remove(_states(spark, folder), gone).select("rel_path", "sha256")
+
+
+@_query("SELECT question, arg_min(query_id, (asked_at, query_id)) AS query_id, min(epoch(asked_at))::BIGINT AS asked_s, count(*) AS n FROM query_log WHERE asked_at IS NOT NULL GROUP BY question")
 def dedup_queue(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "query_log", "query_id", "question", "asked_at").groupBy("query_id", "question").agg(F.min(F.unix_timestamp("asked_at")).alias("asked_s"), F.count("*").alias("n"))
+    """Each question once, as it was asked first."""
+    rows = table(spark, folder, "query_log", "query_id", "question", "asked_at").where("asked_at is not null")
+    return state.first_wins(rows, ["question"], ["asked_at", "query_id"]).select("question", "query_id", F.unix_timestamp("asked_at").alias("asked_s"), "n")
 
 
 @_query("SELECT count(*) AS total_chunks, count(DISTINCT source) AS file_count FROM chunk")
@@ -362,8 +470,7 @@ def upsert_kb(spark: SparkSession, folder: str) -> DataFrame:
     files = table(spark, folder, "source_file", "rel_path", "sha256", "mtime")
     last = files.groupBy("rel_path").agg(F.max(F.struct("mtime", "sha256"))["sha256"].alias("file_hash")).withColumnRenamed("rel_path", "source")
     new = chunks.join(last, ["source", "file_hash"], "left_semi").select(*chunks.columns)
-    gone = chunks.join(last.select("source"), "source", "left_anti").select(*chunks.columns)
-    return gone.unionByName(new)
+    return store.replaced(chunks, new, gone=last)
 
 
 _ONE = "(SELECT min(source) FROM chunk)"

@@ -16,20 +16,16 @@ class Settings:
 
     chunk_size: int = 1200
     chunk_overlap: int = 300
-    vector_dim: int = 512
     embedding_max_tokens: int = 512
-    table_name: str = "docs"
     max_markdown_kb: int = 500
     large_file_mb: int = 50
+    file_timeout_s: int = 600
     top_k: int = 5
     threshold: float = 0.5
     garbled_marks: int = 3
     strip_boilerplate: bool = True
     glossary_path: str = ""
-    host: str = "127.0.0.1"
-    port: int = 8788
-    idle_seconds: int = 3600
-    token: str = ""
+    trust_mtime: bool = True
 
     @classmethod
     def from_env(cls, env: dict[str, str] | None = None, file: str | None = None) -> Settings:
@@ -51,6 +47,10 @@ class Settings:
         out = []
         if self.chunk_size < 2 * self.chunk_overlap:
             out.append(f"chunk_size {self.chunk_size} should be at least twice chunk_overlap {self.chunk_overlap}")
+        if not 0 <= self.threshold <= 1:
+            out.append(f"threshold {self.threshold} should lie between 0 and 1")
+        if self.top_k < 1:
+            out.append(f"top_k {self.top_k} gives no answers")
         if self.chunk_size > self.embedding_max_tokens:
             out.append(f"chunks of {self.chunk_size} characters may be longer than the {self.embedding_max_tokens} tokens that are embedded")
         return out
