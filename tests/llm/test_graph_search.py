@@ -21,3 +21,14 @@ def test_search(spark):
     ranked = got.sort_values(["chunk_id", "rank"])
     assert all((np.diff(g.similarity) <= 0).all() and list(g["rank"]) == list(range(1, len(g) + 1)) for _, g in ranked.groupby("chunk_id"))
     assert G.search(df, df.limit(0), "chunk_id", "vector", dim=32).count() == 0
+
+
+def test_index_is_written_once(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    centres = rng.standard_normal((5, 32))
+    m = np.concatenate([c + 0.3 * rng.standard_normal((20, 32)) for c in centres]).astype(np.float32)
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(m)], "chunk_id long, vector array<float>")
+    G.build_index(df, "chunk_id", "vector", dim=32).write(str(tmp_path / "index"))
+    index, asked = G.Index.read(spark, str(tmp_path / "index")), df.where("chunk_id % 10 = 0")
+    found = sorted(map(tuple, G.search_index(index, asked, "chunk_id", "vector", dim=32).collect()))
+    assert found and found == sorted(map(tuple, G.search(df, asked, "chunk_id", "vector", dim=32).collect()))

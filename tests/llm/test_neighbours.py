@@ -39,13 +39,54 @@ def test_no_node_is_dropped(spark, monkeypatch):
     rng = np.random.default_rng(7)
     m = rng.standard_normal((400, 32)).astype(np.float32)
     df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(m)], "chunk_id long, vector array<float>")
-    _, coded, _ = N.nodes(df, "chunk_id", "vector", 32)
-    graph = N.first_graph(coded, 0.99)
+    found = N.nodes(df, "chunk_id", "vector", 32)
+    graph = N.first_graph(found, 0.99)
     assert graph.count() == 400 and {r.n for r in graph.selectExpr("size(links) n").collect()} == {N.FEW}
-    assert N._cells(graph, coded).select("node").distinct().count() == 400
-    assert N._cells(graph.where("node % 2 = 0"), coded).count() == 400
+    assert N._cells(graph, found.coded, found).select("node").distinct().count() == 400
+    assert N._cells(graph.where("node % 2 = 0"), found.coded, found).count() == 400
 
 
 def test_orders_grow():
     assert N.orders_for(0) == N.orders_for(20_000) == N.ORDERS
     assert N.orders_for(20_000_000) > N.orders_for(2_000_000) > N.orders_for(200_000) > N.ORDERS
+
+
+def test_equal_vectors_for_any_k(spark):
+    """A group of equal vectors is larger than k + 1: each row still has k neighbours, the smallest ids but its own."""
+    df = spark.createDataFrame([(i, [1.0] * 8) for i in range(30)] + [(50, [-1.0] * 8)], "chunk_id long, vector array<float>")
+    for k in (1, 5, 10):
+        got = N.neighbours(df, "chunk_id", "vector", k=k, dim=8).toPandas()
+        want = {(i, j) for i in range(30) for j in [x for x in range(30) if x != i][:k]}
+        assert set(zip(got.chunk_id, got.neighbour)) == want and len(got) == 30 * k
+
+
+def test_slices(spark, monkeypatch):
+    """What a cell reaches is compared a slice at a time, with the same result."""
+    rng = np.random.default_rng(3)
+    centres = rng.standard_normal((10, 32))
+    m = np.concatenate([c + 0.4 * rng.standard_normal((40, 32)) for c in centres]).astype(np.float32)
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(m)], "chunk_id long, vector array<float>")
+    whole = set(map(tuple, N.similar_pairs(df, "chunk_id", "vector", dim=32).collect()))
+    monkeypatch.setattr(N, "SLICE", 37)
+    assert set(map(tuple, N.similar_pairs(df, "chunk_id", "vector", dim=32).collect())) == whole and len(whole) > 500
+    ids, codes = np.arange(90), rng.standard_normal((90, 16)).astype(np.float32)
+    one = N._links(ids[:20], codes[:20], ids, codes, 7, 0.1)
+    monkeypatch.setattr(N, "SLICE", 1000)
+    other = N._links(ids[:20], codes[:20], ids, codes, 7, 0.1)
+    assert one[0].to_pylist() == other[0].to_pylist() and np.allclose(one[1].flatten(), other[1].flatten())
+
+
+def test_rounds_end(spark, monkeypatch):
+    """A graph that nothing improves is left after one round; one that is far from settled goes on."""
+    rng = np.random.default_rng(9)
+    m = rng.standard_normal((600, 32)).astype(np.float32)
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(m)], "chunk_id long, vector array<float>")
+    taken = []
+    descend = N.descend
+    monkeypatch.setattr(N, "descend", lambda *a: taken.append(1) or descend(*a))
+    N.settled_graph(N.nodes(df, "chunk_id", "vector", 32), 0.2)  # one block holds all nodes: the first graph is complete
+    assert len(taken) == 1
+    monkeypatch.setattr(N, "BLOCK", 16)
+    monkeypatch.setattr(N, "CELL", 32)
+    N.settled_graph(N.nodes(df, "chunk_id", "vector", 32), 0.2)
+    assert 3 <= len(taken) <= 1 + N.ROUNDS

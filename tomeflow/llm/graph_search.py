@@ -1,20 +1,22 @@
 """Greedy search of a neighbour graph for a set of query vectors.
 
-All queries walk at once: in each step the links of the nodes in every query's beam are joined, nodes seen before
-are left out, the rest is compared by code, and the best of old and new form the next beam. A walk starts at nodes
-that share the longest prefixes of hyperplane signs with the query. In the end the beam is compared in double
-precision.
+The graph is an index: built once by NN-descent, written down, and read again by every search. All queries walk at
+once: in each step the links of the nodes in every query's beam are joined, nodes seen before are left out, the rest
+is compared by code, and the best of old and new form the next beam. A walk starts at nodes that share the longest
+prefixes of hyperplane signs with the query. In the end the beam is compared in double precision.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tomeflow.functions.durable import stored
-from tomeflow.llm.neighbours import DIM, ORDERS, ROUNDS, SLACK, _cells, _codes, _unpacked, descend, first_graph, nodes
+from tomeflow.llm.neighbours import DIM, ORDERS, SLACK, _codes, _unpacked, nodes, settled_graph
 
 #: Nodes in a beam, steps, and the lengths in bits of the prefixes that a walk may start from.
 BEAM, STEPS, PREFIXES = 32, 5, (8, 12, 16, 20)
@@ -49,24 +51,49 @@ def _best(df: DataFrame, n: int) -> DataFrame:
     return df.withColumn("_place", place).where(F.col("_place") <= n).drop("_place")
 
 
+@dataclass(frozen=True)
+class Index:
+    """Tables of an index: (node, links) of the graph, (node, firsts, code), (node, packed vector), and (order, bits, prefix, node): where a walk may start."""
+
+    links: DataFrame
+    coded: DataFrame
+    packed: DataFrame
+    doors: DataFrame
+
+    def write(self, path: str) -> None:
+        for name, df in vars(self).items():
+            df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{name}")
+
+    @classmethod
+    def read(cls, spark: SparkSession, path: str) -> Index:
+        return cls(*[spark.read.parquet(f"{path.rstrip('/')}/{name}") for name in ("links", "coded", "packed", "doors")])
+
+
+def build_index(vectors: DataFrame, key: str, vector: str, k: int = 5, least: float = 0.70, dim: int = DIM) -> Index:
+    """The index of all usable rows of (``key``, vector); each node knows the first k + 1 rows that hold its vector."""
+    found = nodes(vectors, key, vector, dim, k)
+    links = settled_graph(found, least - SLACK).select("node", "links")
+    doors = stored(_prefixed(found.coded, "node").groupBy("order", "bits", "prefix").agg(F.min("node").alias("node")), "doors")
+    return Index(links, found.coded.select("node", "firsts", "code"), found.packed, doors)
+
+
 def search(vectors: DataFrame, asked: DataFrame, key: str, vector: str, k: int = 5, least: float = 0.70, dim: int = DIM) -> DataFrame:
-    """(``key``, neighbour, rank, similarity): for each row of ``asked`` the k most similar other rows of ``vectors``.
+    """``search_index`` in the index of ``vectors``, built for it."""
+    return search_index(build_index(vectors, key, vector, k, least, dim), asked, key, vector, k, least, dim)
+
+
+def search_index(index: Index, asked: DataFrame, key: str, vector: str, k: int = 5, least: float = 0.70, dim: int = DIM) -> DataFrame:
+    """(``key``, neighbour, rank, similarity): for each row of ``asked`` (``key``, vector) the k most similar other rows of the index.
 
-    Both are (``key``, vector); a row of ``vectors`` with the key of the query is left out. Vectors that are null, of
-    another length, not finite or all zero take no part. Fewer than k rows of at least ``least`` give fewer results.
+    A row of the index with the key of the query is left out. Vectors that are null, of another length, not finite or
+    all zero take no part. Fewer than k rows of at least ``least`` give fewer results.
     """
-    _, coded, packed = nodes(vectors, key, vector, dim)
-    coded = stored(coded, "nodes")
-    graph = first_graph(coded, least - SLACK)
-    for _ in range(ROUNDS):
-        graph = descend(graph, coded, _cells(graph, coded), least - SLACK)
-    links = graph.select("node", "links")
-
-    of_query, q_coded, q_packed = nodes(asked, key, vector, dim)
-    q_coded = stored(q_coded.select(F.col("node").alias("query"), F.col("code").alias("q_code"), "signs"), "queries")
+    links, coded, packed, doors = index.links, index.coded, index.packed, index.doors
+    queries = nodes(asked, key, vector, dim, k)
+    of_query, q_packed = queries.rows, queries.packed
+    q_coded = queries.coded.select(F.col("node").alias("query"), F.col("code").alias("q_code"), "signs")
     q_codes = q_coded.select("query", "q_code")
     codes = coded.select("node", "code")
-    doors = _prefixed(coded, "node").groupBy("order", "bits", "prefix").agg(F.min("node").alias("node"))
     start = _prefixed(q_coded, "query").join(doors, ["order", "bits", "prefix"]).select("query", "node").distinct()
 
     def compared(pairs: DataFrame) -> DataFrame:
