@@ -65,3 +65,29 @@ def test_running_total(spark):
         mine = sorted((r.i, r.s) for r in got if r.g == g)
         assert [s for _, s in mine] == list(np.cumsum([i % 3 for i in range(200)]))
     assert running_total(spark.createDataFrame([], "g string, i int, v long"), ["g"], ["i"], "v", "s").count() == 0
+
+
+def test_stored_tables_lie_with_their_application(spark):
+    from pathlib import Path
+
+    from tomeflow.functions import durable
+
+    df = durable.stored(spark.range(3).toDF("i"), "x")
+    own = Path(durable.shared_dir(spark).removeprefix("file:")) / "tomeflow" / spark.sparkContext.applicationId
+    assert df.count() == 3 and any(p.name.startswith("x-") for p in own.iterdir())
+
+
+def test_snapshots_are_added_once(spark, tmp_path):
+    import pytest
+
+    from tomeflow.functions.filesystem import Folder
+
+    f = Folder(spark, str(tmp_path / "f"))
+    assert f.names() == [] and f.names("m") == []
+    f.add("m/1.json", "ä")
+    assert f.read("m/1.json") == "ä" and f.names("m") == ["1.json"]
+    with pytest.raises(FileExistsError):
+        f.add("m/1.json", "other")
+    assert f.read("m/1.json") == "ä" and f.names("m") == ["1.json"]
+    f.remove("m")
+    assert f.names() == []

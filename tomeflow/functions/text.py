@@ -29,6 +29,13 @@ DOC_EXTENSIONS = ("docx", "md", "pdf", "txt", "pptx", "xlsx")
 CODE_TYPES = {"sql": "sql", "yaml": "yaml", "yml": "yaml", "json": "json", "ini": "ini", "conf": "ini", "toml": "toml"}
 
 
+def _any(tests: list[Column]) -> Column:
+    out = tests[0]
+    for t in tests[1:]:
+        out = out | t
+    return out
+
+
 def utrim(c: Column | str) -> Column:
     """Text without white space at its ends."""
     return F.regexp_replace(F.col(c) if isinstance(c, str) else c, r"(?U)^\s+|\s+$", "")
@@ -76,8 +83,8 @@ def is_readable(c: Column | str, marks: int = 3) -> Column:
     """
     c = F.col(c) if isinstance(c, str) else c
     head = F.substring(c, 1, HEAD)
-    template = head.rlike("|".join(r"\Q" + t + r"\E" for t in TEMPLATES))
-    words = F.size(F.filter(F.split(head, r"(?U)\s+"), lambda w: w.rlike(r"^[\x00-\x7F]{3,}$"))) >= 10
+    template = _any([head.contains(t) for t in TEMPLATES])
+    words = F.regexp_count(head, F.lit(r"(?U)(?<!\S)[\x00-\x08\x0E-\x1F!-\x7F]{3,}+(?!\S)")) >= 10
     return F.coalesce(~is_blank(c) & ((punctuation_count(c) >= marks) | template | words), F.lit(False))
 
 
@@ -88,13 +95,6 @@ def garbled_ratio(c: Column | str) -> Column:
     return F.when(F.coalesce(F.length(head), F.lit(0)) == 0, F.lit(1.0)).otherwise(odd / F.length(head))
 
 
-def _any(tests: list[Column]) -> Column:
-    out = tests[0]
-    for t in tests[1:]:
-        out = out | t
-    return out
-
-
 def is_boilerplate(line: Column) -> Column:
     """Whether a line is one of a cover, header or footer."""
     bare = utrim(line)

@@ -60,7 +60,7 @@ def format_dispatch(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "source_file", "rel_path", "sha256").select("rel_path", "sha256", ext.alias("extension"), F.when(known, T.doc_type(ext)).otherwise("skip").alias("reads_as"))
 
 
-@_query("SELECT rel_path, sha256, strftime(mtime AT TIME ZONE 'UTC', CASE WHEN microsecond(mtime) % 1000000 = 0 THEN '%Y-%m-%dT%H:%M:%S' ELSE '%Y-%m-%dT%H:%M:%S.%f' END) || '+00:00' AS mtime FROM source_file")
+@_query("SELECT rel_path, sha256, CASE WHEN microsecond(mtime) % 1000000 = 0 THEN strftime(mtime AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%S+00:00') ELSE strftime(mtime AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%S.%f+00:00') END AS mtime FROM source_file")
 def iso_times(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "source_file", "rel_path", "sha256", "mtime").withColumn("mtime", T.iso_utc("mtime"))
 
