@@ -106,3 +106,18 @@ def test_buckets_are_optimal():
         )
         ends, padding = packing._cut(counts, cost)
         assert abs(padding + cost * len(ends) - best) < 1e-6
+
+
+def test_buckets_are_optimal():
+    """The hull gives what trying every beginning gives."""
+    rng = np.random.default_rng(4)
+    for size, cost in ((1, 0.0), (5, 3.0), (60, 0.0), (60, 25.0), (300, 400.0), (300, 1e9)):
+        counts = np.where(rng.random(size + 1) < 0.7, rng.integers(1, 50, size + 1), 0)
+        counts[0], counts[size] = 0, 3
+        lengths = [int(x) for x in np.flatnonzero(counts)]
+        best = [0.0]
+        for r in range(1, len(lengths) + 1):
+            best.append(min(best[i] + cost + sum(int(counts[x]) * (lengths[r - 1] - x) for x in lengths[i:r]) for i in range(r)))
+        ends, padding = packing._cut(counts, cost)
+        assert ends[-1] == size and abs(padding + cost * len(ends) - best[-1]) < 1e-6 * max(1.0, best[-1])
+    assert packing._cut(np.zeros(5, np.int64), 1.0) == ([], 0.0)

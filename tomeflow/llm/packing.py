@@ -24,22 +24,37 @@ PADDING = 0.001
 def _cut(counts: np.ndarray, cost: float) -> tuple[list[int], float]:
     """Upper ends of the buckets that minimise the padding plus ``cost`` a bucket, and that padding.
 
-    ``counts[n]`` is the number of items of length n. Only lengths that occur are ends.
+    ``counts[n]`` is the number of items of length n. Only lengths that occur are ends. A bucket that begins behind the
+    i-th length costs a linear function of its upper end, so the best beginning for each end is on the lower hull of
+    these lines, which is walked once: the work is linear in the number of lengths.
     """
     lengths = np.flatnonzero(counts)
     n = counts[lengths].astype(np.float64)
-    items, tokens = np.concatenate([[0], np.cumsum(n)]), np.concatenate([[0], np.cumsum(n * lengths)])
-    best, came = np.zeros(len(lengths) + 1), np.zeros(len(lengths) + 1, dtype=np.int64)
-    for r in range(1, len(lengths) + 1):
-        padding = (items[r] - items[:r]) * lengths[r - 1] - (tokens[r] - tokens[:r])
-        total = best[:r] + padding + cost
-        came[r] = int(np.argmin(total))
-        best[r] = total[came[r]]
-    ends, at = [], len(lengths)
-    while at:
-        ends.append(int(lengths[at - 1]))
-        at = came[at]
-    return ends[::-1], float(best[-1] - cost * len(ends))
+    items, tokens = np.concatenate([[0], np.cumsum(n)]).tolist(), np.concatenate([[0], np.cumsum(n * lengths)]).tolist()
+    best, came = [0.0], [0]
+    hull: list[int] = []  # beginnings, those for shorter ends first
+    at = 0
+
+    def meet(a: int, b: int) -> float:
+        """The end from which on beginning ``b`` is better than ``a``."""
+        return (best[b] + tokens[b] - best[a] - tokens[a]) / (items[b] - items[a])
+
+    for r, length in enumerate(lengths.tolist(), 1):
+        i = r - 1
+        while len(hull) >= 2 and meet(hull[-1], i) <= meet(hull[-2], hull[-1]):
+            hull.pop()
+        hull.append(i)
+        at = min(at, len(hull) - 1)
+        while at + 1 < len(hull) and meet(hull[at], hull[at + 1]) <= length:
+            at += 1
+        b = hull[at]
+        best.append(best[b] + (items[r] - items[b]) * length - (tokens[r] - tokens[b]) + cost)
+        came.append(b)
+    ends, r = [], len(lengths)
+    while r:
+        ends.append(int(lengths[r - 1]))
+        r = came[r]
+    return ends[::-1], best[-1] - cost * len(ends)
 
 
 def buckets(histogram: dict[int, int], capacity: int, padding: float = PADDING) -> list[int]:
