@@ -322,8 +322,8 @@ def _counted(rows: Iterator[tuple[str, float]]) -> Counter:
 
 # -- the operator --------------------------------------------------------------------------------------------
 
-#: Tokens that a task holds at once.
-HELD = 100_000
+#: Characters of tokens that a task holds from one batch to the next.
+HELD = 10_000_000
 #: What a worker knows of tokens, by run: tasks that follow each other in one process share it.
 _DOUBTS: dict[str, dict[str, bool]] = {}
 
@@ -350,7 +350,7 @@ def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found = _tokens(text)
             held.update(found)
             sizes[pool, source] += len(found)
-        if len(held) > HELD:
+        if sum(map(len, held)) > HELD:
             total.update(_counted(held.items()))
             held.clear()
     total.update(_counted(held.items()))
@@ -422,7 +422,7 @@ def _doubtful(rows: DataFrame, model: Model) -> DataFrame:
                         ids.append(i)
                         pools.append(pool)
                         tokens.append(t)
-            if len(known) > HELD:
+            if sum(map(len, known)) > HELD:
                 known.clear()
             yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(pools, pa.int64()), pa.array(tokens, pa.string())], names=["chunk_id", "pool", "token"])
 
