@@ -77,16 +77,18 @@ def test_slices(spark, monkeypatch):
 
 
 def test_rounds_end(spark, monkeypatch):
-    """A graph that nothing improves is left after one round; one that is far from settled goes on."""
+    """Rounds end when at most the given share of links is new, and at the latest after the given number."""
     rng = np.random.default_rng(9)
-    m = rng.standard_normal((600, 32)).astype(np.float32)
+    m = rng.standard_normal((300, 32)).astype(np.float32)
     df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(m)], "chunk_id long, vector array<float>")
-    taken = []
+    found, taken = N.nodes(df, "chunk_id", "vector", 32), []
     descend = N.descend
-    monkeypatch.setattr(N, "descend", lambda *a: taken.append(1) or descend(*a))
-    N.settled_graph(N.nodes(df, "chunk_id", "vector", 32), 0.2)  # one block holds all nodes: the first graph is complete
-    assert len(taken) == 1
+    monkeypatch.setattr(N, "descend", lambda *a: taken.append(a[-1]) or descend(*a))
     monkeypatch.setattr(N, "BLOCK", 16)
     monkeypatch.setattr(N, "CELL", 32)
-    N.settled_graph(N.nodes(df, "chunk_id", "vector", 32), 0.2)
-    assert 3 <= len(taken) <= 1 + N.ROUNDS
+    monkeypatch.setattr(N, "ROUNDS", 3)
+    for share, want in ((1.0, ["links"]), (-1.0, ["links", "fresh", "fresh"])):
+        taken.clear()
+        monkeypatch.setattr(N, "FRESH", share)
+        graph = N.settled_graph(found, 0.2)
+        assert taken == want and graph.columns == ["node", "links", "sims"] and graph.count() == 300
