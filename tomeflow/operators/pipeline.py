@@ -44,9 +44,12 @@ class Pipeline:
         if mode == "incremental" and self.settings.trust_mtime:
             done = self.state().where(state.is_done("conversion") & state.is_done("ingestion"))
             same = stored(found.join(done.select("rel_path", "size", "mtime"), ["rel_path", "size", "mtime"], "left_semi").select("rel_path"), "unchanged")
-        todo = self.take(read_listed(self.spark, self.source, found.join(same, "rel_path", "left_anti")), mode)
         skipped = same.join(self.state().select("rel_path", "sha256"), "rel_path")
-        return todo.unionByName(skipped.select("rel_path", "sha256", F.lit("skip").alias("action"), F.lit("skip").alias("reason"))).orderBy("rel_path")
+        skipped = skipped.select("rel_path", "sha256", F.lit("skip").alias("action"), F.lit("skip").alias("reason")).orderBy("rel_path")
+        if mode == "incremental" and same.count() == found.count():
+            return skipped
+        todo = self.take(read_listed(self.spark, self.source, found.join(same, "rel_path", "left_anti")), mode)
+        return todo.unionByName(skipped).orderBy("rel_path")
 
     def take(self, files: DataFrame, mode: str = "incremental") -> DataFrame:
         """The build over given files; those that the state knows besides stay as they are."""
